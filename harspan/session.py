@@ -20,6 +20,7 @@ def local_session(name: str = "harspan", cores: str = "*", **conf: str) -> Spark
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
