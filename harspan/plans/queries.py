@@ -241,9 +241,6 @@ def anti_seen(spark: SparkSession, d: str) -> DataFrame:
     return dedup.not_seen(rows, F.col("licNo"), snapshots)
 
 
-def capped_search(spark: SparkSession, d: str) -> DataFrame:
-    return search.leaf_search(read_table(spark, d, "customer").select("c_custkey", "c_name"), "c_name", 100)
-
 
 def capped_search_names(spark: SparkSession, d: str) -> DataFrame:
     return search.leaf_search(read_table(spark, d, "registry_rows").select("rec_id", "customerName"), "customerName", 20)
@@ -445,7 +442,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [p4_found, p5_found, p5_changes, system_summary, url_split, path_template, dynamic_segments, named_templates, json_bodies, event_cells, envelope_rows,
               data_cells, column_order, missing_headers, secrets_masked, weak_cookies, cors, transport, verbose_errors, captcha_signals, vendor_signals, fragile_params,
               findings_pivot, security_findings, endpoint_status, first_example, redacted_headers, curl_snippet, request_scripts, html_clean, registry_clean, registry_export,
-              registry_names, registry_payload, date_normalize, order_epochs, token_expiry, balanced_json, dedup_keep_null, composite_key_dedup, anti_seen, capped_search,
+              registry_names, registry_payload, date_normalize, order_epochs, token_expiry, balanced_json, dedup_keep_null, composite_key_dedup, anti_seen,
               capped_search_names, capped_search_keep, capped_rows, rows_added_per_term, pending_terms, pagination_numeric, pagination_profiles, pagination_cursor, status_sets,
               param_union, endpoint_schemas, widths]
     return {f.__name__: f for f in listed}
@@ -476,7 +473,6 @@ def oracle_sql() -> dict[str, str]:
         **_registry_sql(),
         "order_epochs": "select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as by_seconds, strftime(o_orderdate, '%Y-%m-%d') as by_millis from orders",
         "token_expiry": "select event_id, event_id + 1700000000 as exp from events",
-        "capped_search": _search_sql("customer", "c_custkey", "c_name", 100),
         "capped_search_names": _search_sql("registry_rows", "rec_id", "customerName", 20),
         "capped_search_keep": _kept_sql("registry_rows", "rec_id", "customerName", 20),
         "pending_terms": """
