@@ -33,7 +33,7 @@ def source_key(name: Column) -> Column:
 def fill_levels(shares: list[float], limits: list[float], total: float) -> list[float]:
     """How much each source gives: in proportion to ``shares``, none above its limit, together ``total`` if it can be had."""
     given = [0.0] * len(shares)
-    open_ = [i for i, s in enumerate(shares) if s > 0]
+    open_ = [i for i, s in enumerate(shares) if s > 1e-12]
     left = total
     while open_ and left > 0:
         weight = sum(shares[i] for i in open_)

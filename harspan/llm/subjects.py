@@ -105,7 +105,7 @@ class SubjectModel:
             self._places.clear()
         find = self._places.__getitem__
         lists = [np.fromiter(map(find, said(t).split()), np.int64) if t else np.empty(0, np.int64) for t in texts]
-        lengths = np.array([len(x) for x in lists])
+        lengths = np.array([len(x) for x in lists], dtype=np.int64)
         places = np.concatenate(lists) if lists else np.empty(0, np.int64)
         rows = np.repeat(np.arange(len(lists)), lengths)
         kept = places != -2
@@ -184,7 +184,7 @@ class _Counted:
             words = [w for w in map(trimmed.__getitem__, said(t).split()) if w]
             lists.append(np.array([place.setdefault(w, len(place)) for w in words], dtype=np.int64))
         size = len(place)
-        rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        rows = np.repeat(np.arange(len(lists)), np.array([len(x) for x in lists], dtype=np.int64))
         at = np.concatenate(lists) if lists else np.empty(0, np.int64)
         near = rows[:-1] == rows[1:]
         # words are numbered from 0, neighbours behind them
