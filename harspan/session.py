@@ -2,16 +2,35 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+
 
 def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     """The Parquet table ``name`` of ``directory``."""
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers once per application, unless they find it on their ``PYTHONPATH``."""
+    root = Path(__file__).resolve().parents[1]
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    target = Path(tempfile.mkdtemp(prefix="harspan-package-")) / "harspan.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(Path(__file__).resolve().parent.rglob("*.py")):
+            out.write(path, path.relative_to(root).as_posix())
+    spark.sparkContext.addPyFile(str(target))
+    _SHIPPED.add(application)
+
+
 def local_session(name: str = "harspan", cores: str = "*", **conf: str) -> SparkSession:
     """A session for tests and the command line; on a cluster the caller brings its own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
