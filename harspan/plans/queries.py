@@ -329,10 +329,38 @@ _JSON = "coalesce(json_valid({x}) and trim({x}) <> 'null' and {x} <> '', false)"
 _DYNAMIC = f"coalesce(regexp_matches({{x}}, '^(?:[0-9]+|{_UUID}|[0-9a-fA-F]{{24}})$') or (regexp_matches({{x}}, '^[0-9a-zA-Z_-]{{8,}}$') and regexp_matches({{x}}, '[0-9]') and regexp_matches({{x}}, '[a-zA-Z]')), false)"
 
 
+_NAMED = f"""
+seg as (select path, unnest(string_split(path, '/')) as seg, generate_subscripts(string_split(path, '/'), 1) - 1 as i from (select distinct path from calls where path is not null)),
+dyn as (select *, {_DYNAMIC.replace('{x}', 'seg')} as dynamic from seg),
+las as (select *, coalesce(last_value(case when seg <> '' and not dynamic then seg end ignore nulls) over (partition by path order by i rows between unbounded preceding and 1 preceding), '') as last from dyn),
+ste as (select *, regexp_replace(regexp_replace(last, 's+$', ''), '[^a-zA-Z0-9]', '', 'g') as stem from las),
+bas as (select *, case when dynamic then case when length(stem) > 1 then lower(left(stem, 1)) || substr(stem, 2) || 'Id' when length(stem) = 1 then stem || 'Id' else 'param' || i end end as base from ste),
+num as (select *, row_number() over (partition by path, base order by i) as nth from bas),
+named as (select path, coalesce(nullif(string_agg(case when dynamic then '{{' || base || case when nth > 1 then cast(nth as varchar) else '' end || '}}' else seg end, '/' order by i), ''), '/') as template,
+  coalesce(string_agg(base || case when nth > 1 then cast(nth as varchar) else '' end, ',' order by i) filter (dynamic), '') as params from num group by path)
+"""
+_PAGED = f"""
+with {_NAMED},
+ep as (select upper(coalesce(nullif(method, ''), 'GET')) as method, template as path_template, call_id, query_params from calls join named using (path) where {{filter}}),
+sizes as (select method, path_template, count(*) as n_calls from ep group by 1, 2),
+keys as (select unnest({pagination.NUMERIC_KEYS}) as key, unnest(range({len(pagination.NUMERIC_KEYS)})) as key_idx),
+v as (select method, path_template, call_id, key, key_idx, try_cast(trim(query_params[key]) as bigint) as num from ep, keys where query_params[key] is not null),
+w as (select *, num - lag(num) over (partition by method, path_template, key order by call_id) as step from v),
+a as (select method, path_template, key, key_idx, count(*) as n, count(num) as whole, min(step) as low, max(step) as high, arg_min(num, call_id) as first from w group by 1, 2, 3, 4),
+c as (select a.*, case when n = 1 then 0.25 else 0.6 + 0.35 * least(n / 5.0, 1.0) end as confidence, case when n > 1 then low when key in ('offset', 'skip') then 20 else 1 end as step_size,
+    case when key in ('offset', 'skip') then 'OFFSET' else 'PAGE' end as strategy
+  from a join sizes using (method, path_template) where n = n_calls and whole = n and (n = 1 or (low > 0 and low = high))),
+best as (select *, row_number() over (partition by method, path_template order by confidence desc, key_idx) as rank from c)
+"""
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+_QUOTE = "case when regexp_full_match({x}, '[a-zA-Z0-9@%+=:,./_-]+') then {x} else concat(" + _quoted("'") + ", replace({x}, " + _quoted("'") + ", " + _quoted("'\"'\"'") + "), " + _quoted("'") + ") end"
+
+
 def _cases(kinds: list[tuple[str, str]], rows: str, text: str = "body") -> str:
     """A union of one select per pattern over ``probe``; ``rows`` names what is selected, with {label}."""
     return " union all ".join(
@@ -461,6 +489,23 @@ def oracle_sql() -> dict[str, str]:
         "url_split": f"select call_id, regexp_extract(coalesce(url, ''), '^(?:[^:/?#]+:)?(?://([^/?#]*))?([^?#]*)', 1) as host, {_PATH} as path from calls",
         "path_template": f"select {method} as method, {_TEMPLATE} as template, count(*) as n_calls from calls group by 1, 2",
         "dynamic_segments": f"select segment, count(*) as n, any_value({_DYNAMIC.replace('{x}', 'segment')}) as is_dynamic from (select unnest(string_split(path, '/')) as segment from calls) where segment <> '' group by 1",
+        "named_templates": f"with {_NAMED} select template, params, count(*) as n_calls from calls join named using (path) group by 1, 2",
+        "pagination_numeric": _PAGED.replace("{filter}", "query_params['page'] is not null or query_params['offset'] is not null")
+        + "select method, path_template, key as param_name, strategy, step_size, first as initial_value, round(confidence, 4) as confidence from best where rank = 1",
+        "pagination_profiles": _PAGED.replace("{filter}", "true")
+        + """select s.method, s.path_template, coalesce(b.strategy, 'NONE') as strategy, b.key as param_name, case when b.key is not null then 'query' end as param_source, coalesce(b.step_size, 1) as step_size,
+            coalesce(b.first, 0) as initial_value, cast(null as varchar) as cursor_json_path, coalesce(b.confidence, 0.0) as confidence, s.n_calls as sample_size
+            from sizes s left join best b on s.method = b.method and s.path_template = b.path_template and b.rank = 1""",
+        "pagination_cursor": f"""with {_NAMED},
+            ep as (select upper(coalesce(nullif(method, ''), 'GET')) as method, template as path_template, call_id from calls join named using (path)),
+            l as (select *, call_id - lag(call_id) over (partition by method, path_template order by call_id) as gap from ep)
+            select method, path_template, 'cursor' as param_name, case when count(*) filter (gap = 1) > 0 then 'meta.next' end as cursor_json_path,
+              cast(case when count(*) filter (gap = 1) > 0 then 0.85 else 0.4 end as double) as confidence from l group by 1, 2""",
+        "curl_snippet": f"""select host as system, method, path as endpoint, status as status_seen,
+            concat_ws(' ', 'curl -X', coalesce(nullif(method, ''), 'GET'), {_QUOTE.replace('{x}', "coalesce(url, '')")},
+              nullif(array_to_string(list_transform(map_entries(request_headers), lambda e: '-H ' || {_QUOTE.replace('{x}', "(e.key || ': ' || e.value)")}), ' '), ''),
+              case when {_JSON.replace('{x}', 'request_body_json')} then '-d ' || {_QUOTE.replace('{x}', 'request_body_json')} end) as curl_command
+            from (select *, row_number() over (partition by host, method, path order by call_id) rn from calls) where rn = 1""",
         "json_bodies": f"select {_JSON.replace('{x}', 'response_text_raw')} as has_json, count(*) as n_calls from calls group by 1",
         "event_cells": "select event_id as call_id, k as key, json_extract_string(props, '$.' || k) as value, case when json_type(props, '$.' || k) in ('BIGINT', 'UBIGINT') then 'integer' when json_type(props, '$.' || k) = 'DOUBLE' then 'number' else 'string' end as kind from (select event_id, props, unnest(json_keys(props)) as k from events where json_valid(props))",
         "envelope_rows": """select json_extract_string(r, '$.licNo') as licno, tid, count(*) as n_rows from (
