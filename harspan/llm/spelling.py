@@ -16,18 +16,33 @@ def gapped_forms(word: Column) -> Column:
     return F.when(F.length(word) >= MIN_LETTERS, F.array_distinct(F.concat(F.array(word), cut))).otherwise(F.array(word))
 
 
+def one_edit(a: Column, b: Column) -> Column:
+    """Whether two words are equal but for one letter more, less or other, or two neighbours swapped."""
+    apart = F.levenshtein(a, b)
+    swapped = (apart == 2) & (F.length(a) == F.length(b)) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, "")))
+    return (apart <= 1) | swapped
+
+
+def more_used(items: DataFrame) -> DataFrame:
+    """``id`` and ``other``: for each form of an item the item of the highest ``rank`` with that form, where it is another.
+
+    ``items`` has ``id`` (a hash), ``rank`` and ``forms``. Forms travel as hashes and keep only their top item, in an
+    aggregate that combines before the shuffle, so no form gathers its items in one place or pairs them up.
+    """
+    forms = items.select("id", "rank", F.explode("forms").alias("f")).select("id", "rank", F.xxhash64("f").alias("form"))
+    top = forms.groupBy("form").agg(F.max(F.struct("rank", "id")).alias("top"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    return forms.select("id", "form").join(top.select("form", F.col("top.id").alias("other")), "form").where("id <> other").select("id", "other").distinct()
+
+
 def settle_spellings(words: DataFrame, times: int = 3) -> DataFrame:
     """``word`` and ``settled``, the spelling that it stands for, for each row of ``words`` (``word``, ``n_rows``).
 
-    Each gapped form keeps only its most used word (an aggregate that combines before the shuffle, so no form gathers
-    its words in one place or pairs them up). A word stands for the most used word among those of its forms, if that
-    is used at least ``times`` times as often; else for itself.
+    A word stands for the most used word among those of its forms that is one edit from it, if that is used at least
+    ``times`` times as often; else for itself.
     """
-    forms = words.select("word", "n_rows", F.explode(gapped_forms(F.col("word"))).alias("form"))
-    top = forms.groupBy("form").agg(F.max(F.struct("n_rows", "word")).alias("top"))
-    best = (
-        forms.join(top, "form")
-        .groupBy("word")
-        .agg(F.max("top").alias("top"), F.max("n_rows").alias("n_rows"))
-    )
-    return best.select("word", F.when(F.col("top.n_rows") >= F.col("n_rows") * times, F.col("top.word")).otherwise(F.col("word")).alias("settled"))
+    known = words.withColumn("id", F.xxhash64("word"))
+    found = more_used(known.select("id", F.struct("n_rows", "word").alias("rank"), gapped_forms(F.col("word")).alias("forms")))
+    other = known.select(F.col("id").alias("other"), F.struct("n_rows", "word").alias("top"))
+    near = found.join(known, "id").join(other, "other").where((F.col("top.n_rows") >= F.col("n_rows") * times) & one_edit(F.col("word"), F.col("top.word")))
+    best = near.groupBy("id").agg(F.max("top").alias("top"))
+    return known.join(best, "id", "left").select("word", F.coalesce("top.word", "word").alias("settled"))
