@@ -24,8 +24,3 @@ def blank_to_null(text: Column) -> Column:
 def unbreak(text: Column, by: str = " ") -> Column:
     """``text`` with HTML line breaks replaced by ``by`` and stripped."""
     return strip(F.regexp_replace(text, r"(?i)<br\s*/?>", by))
-
-
-def compatible(text: Column) -> Column:
-    """Null stays null; the literal texts ``None``/``null`` are kept, as they may be values."""
-    return text.cast("string")
