@@ -7,17 +7,18 @@ Stages, all over every row: (1) distinct texts are read into words (titles, lega
 (2) misspelt words are settled against the vocabulary of all names through gapped n-grams of word length, the rarest
 features that two spellings share; (3) distinct signatures become vectors of hashed character trigrams, weighted by
 inverse document frequency over all signatures; (4) vectors meet in the posting of their rarest whole-word n-grams,
-where each keeps its top-n most similar partners above a threshold; contradicting names (another given name, another
-trade) are no partners; (5) average linkage groups them.
+where each keeps all its partners above a threshold; contradicting names (another given name, another trade) are no
+partners; (5) average linkage groups them.
 
 Each stage is an aggregate that combines before its shuffle or works on distinct spellings, so a name that holds a
-third of all rows is one signature. A posting of more than ``MAX_BLOCK`` signatures is divided by further words of
-its names, so no task gathers an unbounded group.
+third of all rows is one signature. A posting is never divided: within it names meet through what they must share not
+to contradict (sounds or initials of given names, trade words), so a large one costs by its partners, not by its square.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from heapq import heapify, heappop, heappush
 from zlib import crc32
 
 import numpy as np
@@ -34,12 +35,14 @@ NGRAM = 3
 FEATURES = 1 << 17
 #: Least cosine of two names to be partners, and least average cosine within a group.
 THRESHOLD = 0.25
-#: Most signatures of one posting that are compared with each other; also the n of top-n, so it cuts no partner off.
+#: So many signatures of a posting have their cosines computed at once; bounds memory and changes no result.
 MAX_BLOCK = 400
 #: A word in more than this share of company names tells the trade or the region, not the company.
 COMMON_SHARE = 0.015
 COMMON_LEAST = 12
 _KEYS = "core string, fine string, sig string"
+#: For each signature its partners that do not contradict it, with their cosine, or 0 below the threshold.
+Near = list[dict[int, float]]
 
 
 def _words(texts: Column, reader: Callable[[str], list[str]]) -> Column:
@@ -201,87 +204,161 @@ def company_conflict(a: list[str], b: list[str]) -> bool:
     return not (set(a) <= set(b) or set(b) <= set(a))
 
 
-def link_block(sigs: list[str], rows: list[int], frequency: np.ndarray, total: int, person: bool,
-               threshold: float = THRESHOLD, top_n: int = MAX_BLOCK) -> list[int]:
-    """Group numbers of the signatures of one posting: top-n cosine partners, then average linkage without conflicts."""
+def _meeting_persons(said: list[list[str]]) -> Iterator[set[int]]:
+    """For each list of given names the earlier ones that may fit it: all that do are among them."""
+    index: dict[tuple, list[int]] = {}
+    bare: list[int] = []
+
+    def held(word: str) -> list[str]:
+        return [f"i{word}"] if len(word) == 1 else [f"k{given_key(word)}", f"l{word[0]}"]
+
+    def fitting(word: str) -> list[str]:
+        return [f"i{word}", f"l{word}"] if len(word) == 1 else [f"k{given_key(word)}", f"i{word[0]}"]
+
+    for i, names in enumerate(said):
+        found = set(bare)
+        if not names:
+            found = set(range(i))
+            bare.append(i)
+        elif len(names) == 1:
+            for x in fitting(names[0]):
+                found.update(index.get(("first", x), ()))
+        else:
+            for x in fitting(names[0]):
+                found.update(index.get(("only", x), ()))
+                for y in fitting(names[1]):
+                    found.update(index.get((x, y), ()))
+            if len(names) == 2:
+                for x in fitting(names[1]):
+                    for y in fitting(names[0]):
+                        found.update(index.get((x, y), ()))
+        yield found
+        for x in held(names[0]) if names else ():
+            index.setdefault(("first", x), []).append(i)
+            if len(names) == 1:
+                index.setdefault(("only", x), []).append(i)
+            else:
+                for y in held(names[1]):
+                    index.setdefault((x, y), []).append(i)
+
+
+def _meeting_companies(said: list[list[str]]) -> Iterator[set[int]]:
+    """For each list of words those that have its rarest word; of two lists, the one that holds the other is among them."""
+    index: dict[str, list[int]] = {}
+    for i, words in enumerate(said):
+        for w in set(words):
+            index.setdefault(w, []).append(i)
+    for words in said:
+        yield set(min((index[w] for w in words), key=len)) if words else set(range(len(said)))
+
+
+def compatible(said: list[list[str]], person: bool) -> list[set[int]]:
+    """For each list of given names or trade words all the others that do not contradict it."""
+    conflict = person_conflict if person else company_conflict
+    near: list[set[int]] = [set() for _ in said]
+    for i, found in enumerate(_meeting_persons(said) if person else _meeting_companies(said)):
+        for j in found:
+            if j != i and j not in near[i] and not conflict(said[i], said[j]):
+                near[i].add(j)
+                near[j].add(i)
+    return near
+
+
+def link_block(sigs: list[str], frequency: np.ndarray, total: int, person: bool, threshold: float = THRESHOLD) -> list[int]:
+    """Group numbers of the signatures of one posting: cosine partners, then average linkage without conflicts."""
     n = len(sigs)
     if n == 1:
         return [0]
-    sim = _cosines([_ngram_features(s) for s in sigs], frequency, total)
-    if person:
-        said = [s.split()[:-1] for s in sigs]
-        conflict = person_conflict
-    else:
-        said = [s.partition("|")[2].split() for s in sigs]
-        conflict = company_conflict
-    apart = np.zeros((n, n), dtype=bool)
-    for i in range(n):
-        for j in range(i):
-            apart[i, j] = apart[j, i] = conflict(said[i], said[j])
+    said = [s.split()[:-1] if person else s.partition("|")[2].split() for s in sigs]
+    near = compatible(said, person)
+
+    def clash(js: list[int]) -> bool:
+        own = set(js)
+        return any(len(near[j] & own) < len(own) - 1 for j in js)
+
+    def part(i: int, others: list[int]) -> None:
+        for j in others:
+            near[i].discard(j)
+            near[j].discard(i)
+
     if person:
         # initials that fit several persons tell none of them
         full = [bool(g) and len(g[0]) > 1 for g in said]
         for i in range(n):
             if not full[i]:
-                fits = [j for j in range(n) if full[j] and not apart[i, j]]
-                clash = lambda js: any(apart[j, k] for j in js for k in js if k < j)
+                fits = [j for j in near[i] if full[j]]
                 if clash(fits):
                     # those with as many given names are meant before those with fewer
-                    meant = [j for j in fits if len(said[j]) >= len(said[i])]
-                    told = bool(meant) and not clash(meant)
-                    for j in range(n):
-                        if j != i and (full[j] or said[j] != said[i]) and not (told and not any(apart[j, m] for m in meant)):
-                            apart[i, j] = apart[j, i] = True
+                    meant = {j for j in fits if len(said[j]) >= len(said[i])}
+                    told = bool(meant) and not clash(list(meant))
+                    part(i, [j for j in near[i] if (full[j] or said[j] != said[i]) and not (told and meant <= near[j] | {j})])
     else:
         # a name without its trade fits several organisations of a group and tells none of them
         for i in range(n):
-            fits = [j for j in range(n) if j != i and not apart[i, j]]
-            if any(apart[j, k] for j in fits for k in fits if k < j):
-                if all(len(said[j]) > len(said[i]) for j in fits):
-                    apart[i, :] = apart[:, i] = True
-    sim[apart] = 0
-    np.fill_diagonal(sim, 0)
-    if top_n < n:
-        cut = np.partition(sim, -top_n, axis=1)[:, -top_n][:, None]
-        keep = (sim >= cut) | (sim >= cut).T
-        sim = np.where(keep, sim, 0)
-    sim[sim < threshold] = 0
-    return average_linkage(sim, apart, threshold)
-
-
-def _cosines(features: list[list[int]], frequency: np.ndarray, total: int) -> np.ndarray:
-    """Cosines of hashed n-gram vectors weighted by inverse document frequency."""
-    n = len(features)
-    flat = np.concatenate([np.array(f, dtype=np.int64) for f in features])
-    columns, inverse = np.unique(flat, return_inverse=True)
-    rows = np.repeat(np.arange(n), [len(f) for f in features])
-    matrix = np.zeros((n, len(columns)))
-    np.add.at(matrix, (rows, inverse), 1.0)
-    matrix *= np.log((1 + total) / (1 + frequency[columns])) + 1
-    matrix /= np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
-    return matrix @ matrix.T
+            fits = list(near[i])
+            if clash(fits) and all(len(said[j]) > len(said[i]) for j in fits):
+                part(i, fits)
+    return _linked(_cosines([_ngram_features(s) for s in sigs], near, frequency, total, threshold), threshold)
+
+
+def _cosines(features: list[list[int]], near: list[set[int]], frequency: np.ndarray, total: int, threshold: float) -> Near:
+    """Cosines of hashed n-gram vectors weighted by inverse document frequency, for the pairs in ``near``."""
+    out: Near = [{} for _ in near]
+    for start in range(0, len(near), MAX_BLOCK):
+        own = range(start, min(start + MAX_BLOCK, len(near)))
+        for lower in range(0, start + 1, MAX_BLOCK):
+            others = range(lower, min(lower + MAX_BLOCK, len(near)))
+            pairs = [(i, j) for i in own for j in near[i] if j < i and j in others]
+            if not pairs:
+                continue
+            held = sorted({x for pair in pairs for x in pair})
+            place = {x: k for k, x in enumerate(held)}
+            columns, inverse = np.unique(np.concatenate([np.array(features[x], dtype=np.int64) for x in held]), return_inverse=True)
+            rows = np.repeat(np.arange(len(held)), [len(features[x]) for x in held])
+            matrix = np.zeros((len(held), len(columns)))
+            np.add.at(matrix, (rows, inverse), 1.0)
+            matrix *= np.log((1 + total) / (1 + frequency[columns])) + 1
+            matrix /= np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
+            sim = matrix @ matrix.T
+            for i, j in pairs:
+                value = float(sim[place[i], place[j]])
+                out[i][j] = out[j][i] = value if value >= threshold else 0.0
+    return out
 
 
 def average_linkage(sim: np.ndarray, apart: np.ndarray, threshold: float) -> list[int]:
     """Group numbers by average linkage; groups that hold a conflicting pair are never joined."""
     n = len(sim)
-    link = np.where(apart, -np.inf, sim)
-    np.fill_diagonal(link, -np.inf)
-    size = np.ones(n)
-    out = np.arange(n)
-    while n > 1:
-        at = int(link.argmax())
-        i, j = divmod(at, len(link))
-        if link[i, j] < threshold:
-            break
-        row = (link[i] * size[i] + link[j] * size[j]) / (size[i] + size[j])
-        link[i], link[:, i] = row, row
-        link[i, i] = -np.inf
-        link[j], link[:, j] = -np.inf, -np.inf
-        size[i] += size[j]
-        out[out == j] = i
-        n -= 1
-    return out.tolist()
+    return _linked([{j: float(sim[i, j]) for j in range(n) if j != i and not apart[i, j]} for i in range(n)], threshold)
+
+
+def _linked(near: Near, threshold: float) -> list[int]:
+    """Average linkage over the pairs that may be joined; a pair that is not in ``near`` keeps its groups apart."""
+    size = [1] * len(near)
+    parent = list(range(len(near)))
+    heap = [(-v, i, j) for i, row in enumerate(near) for j, v in row.items() if i < j and v >= threshold]
+    heapify(heap)
+    while heap:
+        value, i, j = heappop(heap)
+        if near[i].get(j) != -value:
+            continue  # one of the two has changed since
+        a, b, whole = near[i], near[j], size[i] + size[j]
+        row = {k: (v * size[i] + b[k] * size[j]) / whole for k, v in a.items() if k in b}
+        for k in a:
+            near[k].pop(i, None)
+        for k in b:
+            near[k].pop(j, None)
+        near[i], near[j], size[i], parent[j] = row, {}, whole, i
+        for k, v in row.items():
+            near[k][i] = v
+            if v >= threshold:
+                heappush(heap, (-v, min(i, k), max(i, k)))
+    out = []
+    for i in range(len(parent)):
+        while parent[i] != i:
+            i = parent[i]
+        out.append(i)
+    return out
 
 
 def link_names(df: DataFrame, id_column: str, field: str, person: bool) -> DataFrame:
@@ -318,52 +395,38 @@ def link_names(df: DataFrame, id_column: str, field: str, person: bool) -> DataF
         signed = _settled_cores(checkpointed(signed), alike=True)
         signed = signed.withColumn("sig", F.concat_ws(" ", F.col("core"), F.lit("|"), F.col("fine")))
     signed = checkpointed(signed)
-    signatures = signed.groupBy("core", "fine", "sig").agg(F.sum("n_rows").alias("n_rows"))
-    crowded = signatures.groupBy("core").agg(F.count(F.lit(1)).alias("coarse"))
-    finer = signatures.groupBy("core", "fine").agg(F.count(F.lit(1)).alias("close"))
-    blocked = (
-        signatures.join(crowded, "core")
-        .join(finer, ["core", "fine"])
-        .select(
-            "core", "sig", "n_rows",
-            F.when(F.col("coarse") <= MAX_BLOCK, F.col("core"))
-            .when(F.col("close") <= MAX_BLOCK, F.concat_ws("/", "core", "fine"))
-            .otherwise(F.concat_ws("/", "core", "sig")).alias("block"),
-        )
-    )
-    blocked = checkpointed(blocked)
+    blocked = checkpointed(signed.select("core", "sig").distinct())
     frequency = _feature_frequencies(blocked)
     n_signatures = blocked.count()
     shared = spark.sparkContext.broadcast(frequency)
     single = F.count(F.lit(1)).alias("members")
-    sizes = blocked.groupBy("block").agg(single)
+    sizes = blocked.groupBy("core").agg(single)
 
     def cluster(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[str, list[tuple[str, str, int]]] = {}
+        held: dict[str, list[str]] = {}
 
-        def done(names: list[str]) -> pd.DataFrame:
+        def done(cores: list[str]) -> pd.DataFrame:
             out = []
-            for name in names:
-                members = sorted(held.pop(name), key=lambda m: m[1])
-                sigs = [m[1] for m in members]
-                groups = link_block(sigs, [m[2] for m in members], shared.value, n_signatures, person)
+            for core in cores:
+                sigs = sorted(held.pop(core))
+                groups = link_block(sigs, shared.value, n_signatures, person)
                 first: dict[int, str] = {}
                 for g, sig in zip(groups, sigs):
                     first.setdefault(g, sig)
-                out.extend((m[0], m[1], f"{name}:{first[g]}") for m, g in zip(members, groups))
+                out.extend((core, sig, f"{core}:{first[g]}") for sig, g in zip(sigs, groups))
             return pd.DataFrame(out, columns=["core", "sig", "entity"])
 
         # postings come one after another, so all but the last one of a batch are whole
         for batch in batches:
-            for core, sig, n, name in zip(batch["core"], batch["sig"], batch["n_rows"], batch["block"]):
-                held.setdefault(name, []).append((core, sig, n))
+            for core, sig in zip(batch["core"], batch["sig"]):
+                held.setdefault(core, []).append(sig)
             yield done(list(held)[:-1])
         yield done(list(held))
 
-    sized = blocked.join(sizes, "block")
-    alone = sized.where("members = 1").select("core", "sig", F.concat_ws(":", "block", "sig").alias("entity"))
-    several = sized.where("members > 1").select("core", "sig", "n_rows", "block")
-    together = several.repartition("block").sortWithinPartitions("block").mapInPandas(cluster, "core string, sig string, entity string")
+    sized = blocked.join(sizes, "core")
+    alone = sized.where("members = 1").select("core", "sig", F.concat_ws(":", "core", "sig").alias("entity"))
+    several = sized.where("members > 1").select("core", "sig")
+    together = several.repartition("core").sortWithinPartitions("core").mapInPandas(cluster, "core string, sig string, entity string")
     entities = alone.unionByName(together)
     by_text = signed.select("text_id", "core", "sig").join(entities, ["core", "sig"]).select(F.col("text_id").alias("text_key"), F.xxhash64("entity").alias("entity"))
     return keyed.select("rec_id", "text_key").join(by_text, "text_key")

@@ -65,3 +65,25 @@ def test_crowded_posting_is_divided(spark, monkeypatch):
     for r in names.link_names(df, "rec_id", "n", True).collect():
         by.setdefault(r.entity, set()).add(r.rec_id)
     assert {0, 1, 2} <= next(g for g in by.values() if 0 in g) and sum(map(len, by.values())) == 8
+
+
+def groups_of(spark, texts, person):
+    by = {}
+    for r in names.link_names(spark.createDataFrame(list(enumerate(texts)), "rec_id long, n string"), "rec_id", "n", person).collect():
+        by.setdefault(r.entity, set()).add(r.rec_id)
+    return list(by.values())
+
+
+def test_large_posting_is_whole(spark):
+    given = ["Kareem", "Walid", "Bashir", "Daniel", "Fadel", "Gamal", "Hatem", "Jaber", "Laith", "Majed", "Nabil", "Omar", "Rami", "Salem", "Tariq", "Yasin", "Zaki", "Bilal", "Firas", "Hadi", "Mazen"]
+    persons = ["Kareem Walid Kofgeqfud"] * 3 + ["Walid Kareem Kofgeqfud", "Kareem Walid Idris Kofgeqfud"] + [f"{a} {b} Kofgeqfud" for a in given for b in given if a != b and {a, b} != {"Kareem", "Walid"}]
+    assert len(persons) > 420 and {0, 1, 2, 3} in groups_of(spark, persons, True)
+
+
+def test_meeting_names_are_all_that_fit():
+    words = ["kareem", "kerim", "k", "khalid", "walid", "w", "omar", "chalid", "c"]
+    people = [[]] + [[a] for a in words] + [[a, b] for a in words for b in words] + [[a, b, "noor"] for a in words for b in words]
+    firms = [[], ["a"], ["b"], ["a", "b"], ["a", "c"], ["a", "b", "c"], ["d"]]
+    for said, person, conflict in ((people, True, names.person_conflict), (firms, False, names.company_conflict)):
+        every = [{j for j in range(len(said)) if j != i and not conflict(said[i], said[j])} for i in range(len(said))]
+        assert names.compatible(said, person) == every
