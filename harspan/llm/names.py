@@ -37,7 +37,8 @@ FEATURES = 1 << 17
 THRESHOLD = 0.25
 #: So many signatures of a posting have their cosines computed at once; bounds memory and changes no result.
 MAX_BLOCK = 400
-#: A word in more than this share of company names tells the trade or the region, not the company.
+#: A word in the names of more than this share of different companies tells the trade or the region, not the company;
+#: fewer than so many companies tell nothing.
 COMMON_SHARE = 0.015
 COMMON_LEAST = 12
 _KEYS = "core string, fine string, sig string"
@@ -56,7 +57,7 @@ def _words(texts: Column, reader: Callable[[str], list[str]]) -> Column:
 
 
 def _settled_words(texts: DataFrame, person: bool) -> DataFrame:
-    """``text_id``, ``words`` (settled, in order) and ``lead``, how seldom each of them ends a name."""
+    """``text_id``, ``words`` (settled, in order), ``lead``, how seldom each ends a name, and ``used``, the rows with it."""
     placed = texts.select("text_id", "n_rows", F.size("words").alias("size"), F.posexplode("words").alias("pos", "word"))
     ends = F.when(F.col("pos") == F.col("size") - 1, F.col("n_rows")).otherwise(0)
     counted = checkpointed(placed.groupBy("word").agg(F.sum("n_rows").alias("n_rows"), F.sum(ends).alias("n_last")))
@@ -74,16 +75,32 @@ def _settled_words(texts: DataFrame, person: bool) -> DataFrame:
         table = settle_spellings(counted).join(counted, "word")
     table = checkpointed(table.select("word", "settled", "n_rows", "n_last"))
     seldom = 1 - (F.sum("n_last") + 1) / (F.sum("n_rows") + 2)
-    known = table.select("word", "settled").join(table.groupBy("settled").agg(seldom.alias("lead")), "settled")
+    known = table.select("word", "settled").join(table.groupBy("settled").agg(seldom.alias("lead"), F.sum("n_rows").alias("used")), "settled")
     return (
         placed.select("text_id", "pos", "word")
         .join(known, "word")
         .groupBy("text_id")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", F.col("settled").alias("w"), "lead"))).alias("w"))
-        .select("text_id", F.col("w.w").alias("words"), F.col("w.lead").alias("lead"))
+        .agg(F.sort_array(F.collect_list(F.struct("pos", F.col("settled").alias("w"), "lead", "used"))).alias("w"))
+        .select("text_id", F.col("w.w").alias("words"), F.col("w.lead").alias("lead"), F.col("w.used").alias("used"))
     )
 
 
+def _common_words(settled: DataFrame) -> list[str]:
+    """The words that stand in the names of many different companies; ``settled`` has ``words`` and ``used``.
+
+    What tells a company is the rarest word of its name, for that word itself the next rarest. A word's companies are the
+    different words that tell them, so neither repeats nor variants of one company make its own words common.
+    """
+    ranked = F.array_sort(F.array_distinct(F.arrays_zip("used", "words")))
+    names = settled.select(F.transform(ranked, lambda x: x["words"]).alias("w")).where("size(w) > 1").distinct()
+    told = names.select(F.col("w")[0].alias("first"), F.col("w")[1].alias("second"), F.explode("w").alias("word"))
+    spread = told.select("word", F.when(F.col("word") == F.col("first"), F.col("second")).otherwise(F.col("first")).alias("by")).distinct()
+    spread = checkpointed(spread)
+    companies = spread.select("by").distinct().count()
+    often = spread.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(COMMON_LEAST, COMMON_SHARE * companies)).select("word")
+    return sorted(r[0] for r in collect_bounded(often, 5000, "the words common to many companies"))
+
+
 def _person_keys(words: Column, lead: Column) -> Column:
     """The surname (the word that most often ends names, whatever its place here), keys of the given names, the signature."""
 
@@ -383,11 +400,7 @@ def link_names(df: DataFrame, id_column: str, field: str, person: bool) -> DataF
         signed = settled.select("text_id", "n_rows", _person_keys(F.col("words"), F.col("lead")).alias("k"))
     else:
         settled = checkpointed(settled)
-        total = settled.agg(F.sum("n_rows")).first()[0] or 0
-        spread = settled.select("n_rows", F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.sum("n_rows").alias("n"))
-        # words with at least this share number at most the words of a name divided by the share
-        often = spread.where(F.col("n") >= max(COMMON_LEAST, COMMON_SHARE * total)).select("w")
-        common = sorted(r[0] for r in collect_bounded(often, 5000, "the words common to many company names"))
+        common = _common_words(settled)
         signed = settled.select("text_id", "n_rows", _company_keys(F.col("words"), common).alias("k"))
     signed = signed.select("text_id", "n_rows", "k.*")
     if not person:

@@ -87,3 +87,10 @@ def test_meeting_names_are_all_that_fit():
     for said, person, conflict in ((people, True, names.person_conflict), (firms, False, names.company_conflict)):
         every = [{j for j in range(len(said)) if j != i and not conflict(said[i], said[j])} for i in range(len(said))]
         assert names.compatible(said, person) == every
+
+
+def test_company_of_many_rows_keeps_its_own_words(spark):
+    hot = ["Gidmab Wudnut Global Trading LLC"] * 300 + ["Gidmab Wudnut Trading"] * 60 + ["GIDMABWUDNUT GLOBAL TRADING"]
+    others = [f"{a}{b}q {b}{a}x {r} {t}" for a in ("lom", "pek", "riv", "sut") for b in ("duj", "fen", "hol", "jas", "kyt") for r in ("Global", "Gulf") for t in ("Trading", "Contracting")]
+    groups = groups_of(spark, hot + others, False)
+    assert next(g for g in groups if 0 in g) == set(range(361)) and len(groups) > 20
