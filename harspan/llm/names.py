@@ -62,11 +62,19 @@ def _settled_words(texts: DataFrame, person: bool) -> DataFrame:
     ends = F.when(F.col("pos") == F.col("size") - 1, F.col("n_rows")).otherwise(0)
     counted = checkpointed(placed.groupBy("word").agg(F.sum("n_rows").alias("n_rows"), F.sum(ends).alias("n_last")))
     if person:
-        # a particle written together with the name is seen when the rest of the word is a name itself
+        # a particle written together with the name is seen when the rest of the word is a name itself, or near one
         rest = F.when(F.col("word").rlike("^(al|el)") & (F.length("word") >= 8), F.expr("substring(word, 3)"))
-        bare = counted.select("word", "n_rows", rest.alias("rest"))
+        bare = checkpointed(counted.select("word", "n_rows", rest.alias("rest")).where("rest is not null"))
         whole = counted.select(F.col("word").alias("rest"), F.col("n_rows").alias("rest_rows"))
-        joined = bare.where("rest is not null").join(whole, "rest").where("rest_rows > 2 * n_rows").select("word", "rest")
+        exact = bare.join(whole, "rest").where("rest_rows > 2 * n_rows").select("word", "rest")
+        typed = F.xxhash64(F.lit("al"), "word")
+        known = counted.select(F.xxhash64("word").alias("id"), F.struct("n_rows", "word").alias("rank"), gapped_forms(F.col("word")).alias("forms"))
+        probes = bare.select(typed.alias("id"), F.struct(F.lit(0).cast("bigint").alias("n_rows"), "word").alias("rank"), gapped_forms(F.col("rest")).alias("forms"))
+        other = counted.select(F.xxhash64("word").alias("other"), F.struct(F.col("n_rows").alias("rows"), "word").alias("top"))
+        met = more_used(known.unionByName(probes)).join(bare.select(typed.alias("id"), "word", "n_rows", "rest"), "id").join(other, "other")
+        met = met.where((F.col("top.rows") > 2 * F.col("n_rows")) & one_edit(F.col("rest"), F.col("top.word")))
+        guessed = met.groupBy("word").agg(F.max("top").alias("top")).select("word", F.col("top.word").alias("near"))
+        joined = bare.select("word").join(exact, "word", "left").join(guessed, "word", "left").select("word", F.coalesce("rest", "near").alias("rest"))
         counted = checkpointed(counted.join(joined, "word", "left"))
         meant = counted.select(F.coalesce("rest", "word").alias("word"), "n_rows").groupBy("word").agg(F.sum("n_rows").alias("n_rows"))
         settled = settle_spellings(checkpointed(meant)).withColumnRenamed("word", "meant")

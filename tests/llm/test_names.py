@@ -94,3 +94,8 @@ def test_company_of_many_rows_keeps_its_own_words(spark):
     others = [f"{a}{b}q {b}{a}x {r} {t}" for a in ("lom", "pek", "riv", "sut") for b in ("duj", "fen", "hol", "jas", "kyt") for r in ("Global", "Gulf") for t in ("Trading", "Contracting")]
     groups = groups_of(spark, hot + others, False)
     assert next(g for g in groups if 0 in g) == set(range(361)) and len(groups) > 20
+
+
+def test_particle_run_together_with_a_misspelt_surname(spark):
+    texts = ["Kareem Zagbuzred"] * 5 + ["ALZAGBUZZRED KAREEM", "Kareem Elzagbuzred"] + [f"Omar {a}{b}qiw" for a in ("lom", "pek", "riv") for b in ("duj", "fen", "hol")]
+    assert set(range(7)) in groups_of(spark, texts, True)
