@@ -12,7 +12,9 @@ an address that equals another in its parts is handled once.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from hashlib import sha256
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -29,6 +31,12 @@ PLACE_PARTS = 4
 _PARTS = "unit string, number string, box string, street string, names array<string>, maybe array<string>, plain string"
 
 
+def _wording(*texts: str | None) -> str:
+    """A digest of the whole wording of an address in all its fields; placeholders are given as None."""
+    folded = [" ".join(t.lower().split()) if t else None for t in texts]
+    return sha256(json.dumps(folded).encode()).hexdigest()
+
+
 def read_rows(df: DataFrame, id_column: str, latin: str, arabic: str) -> DataFrame:
     """``rec_id``, ``text_key`` (equal for equal texts in both fields) and the parts of each row that has an address."""
 
@@ -46,7 +54,7 @@ def read_rows(df: DataFrame, id_column: str, latin: str, arabic: str) -> DataFra
                 maybe = [] if names else sorted({n for x in both for n in x.maybe})
                 street = next((sounds(x.street) for x in (p,) if x and x.street), None)
                 pick = lambda k: next((getattr(x, k) for x in both if getattr(x, k)), None)
-                plain = " ".join((a or b or "").lower().split())[:400] if not (names or maybe) or not pick("unit") else None
+                plain = _wording(a if p else None, b if q else None) if not (names or maybe) or not pick("unit") else None
                 out.append((pick("unit"), pick("number"), pick("box"), street, names, maybe, plain))
             yield pd.DataFrame(out, columns=["unit", "number", "box", "street", "names", "maybe", "plain"])
 

@@ -51,3 +51,11 @@ def test_same_premises(spark):
     pairs = {(r.rec_a, r.rec_b) for r in addresses.premises_pairs(members).collect()}
     assert {(1, 2), (1, 3), (2, 3), (2, 6), (3, 6)} <= pairs and (1, 6) not in pairs and (9, 10) not in pairs
     assert addresses.premises_pairs(addresses.same_premises(df.where("false"))).count() == 0
+
+
+def test_unread_addresses_compare_by_their_whole_wording_in_both_fields(spark):
+    long = "behind the old market " * 30
+    texts = [(long + "north", None), (long + "south", None), (long.upper() + "  north", "N/A"), ("N/A", "بجانب السوق"), ("N/A", "خلف المسجد")]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(texts)], "rec_id long, licAddress string, licArabicAddress string")
+    by = {r.rec_id: r.premises for r in addresses.same_premises(df).collect()}
+    assert by[0] == by[2] and len(set(by.values())) == 4 and len(by) == 5
