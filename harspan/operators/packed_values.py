@@ -35,6 +35,8 @@ _LISTING = r"[|;,،؛•·؍/\n\r\t\[]|\s[-–\\]\s"
 #: What may stand before a known value that begins there, and behind one that ends there.
 _BEFORE = re.compile(rf"(?:^|{_LISTING})\s*(?:\(?[0-9٠-٩]{{1,3}}\s*[.):\-]\s*|[-–*▪]\s+)?[\"'“«‘\\]*\s*$")
 _BEHIND = re.compile(r"\s*[\"'”»’\\]*(?:\s*$|\s*[|;,،؛•·؍/\n\r\t\]]|\s+[-–\\]\s|\s*\(?[0-9٠-٩]{1,3}\s*[.)]\s)")
+#: What blanks, quotes and numbering before a value consist of, besides blanks and digits.
+_MARKS = "()[].:-–*▪\"'“«‘\\"
 _QUOTES = {'"': '"', "'": "'", "“": "”", "«": "»", "‘": "’"}
 _FOLD = str.maketrans("أإآٱةىؤئ", "اااا" + "هيوي")
 
@@ -126,7 +128,7 @@ class Segmenter:
             for last, value in self._automaton.iter(folded):
                 first = last - len(value) + 1
                 start = at[first]
-                if _BEFORE.search(text, max(0, start - 24), start) and _BEHIND.match(text, at[last] + 1):
+                if _BEFORE.search(text, _delimiter_at(text, start), start) and _BEHIND.match(text, at[last] + 1):
                     found.append((first, last + 1))
         # best[i]: most characters known within folded[:i], then fewest values
         ends: dict[int, list[int]] = {}
@@ -181,6 +183,14 @@ class Segmenter:
         return out
 
 
+def _delimiter_at(text: str, start: int) -> int:
+    """A place before the delimiter of a value that begins at ``start``, however many blanks and marks lie between."""
+    at = start
+    while at > 0 and (text[at - 1].isspace() or text[at - 1].isdecimal() or text[at - 1] in _MARKS):
+        at -= 1
+    return max(0, at - 3)
+
+
 def _split(text: str, hard: bool) -> list[tuple[int, int]]:
     """The stretches of ``text`` between delimiters, those within quotes excepted."""
     quoted = [(m.start(), m.end()) for m in re.finditer(r'"(?:[^"\n]|"")*"|“[^”\n]*”|«[^»\n]*»', text)] if hard else []

@@ -60,3 +60,9 @@ def test_unpack(spark):
     assert sorted((r.field_name, r.item_pos, r.item_text) for r in out if r.rec_id == 1) == [("a", 1, "Tea Trading")] * 2 + [("a", 2, "X")] * 2
     assert len([r for r in out if r.rec_id is None]) == 2 and len([r for r in out if r.rec_id == 4]) == 5001
     assert unpack_values(df.where("false"), "rec_id", ["a"], []).count() == 0
+
+
+def test_delimiter_far_before_a_known_value():
+    value = "Precious Stones, Pearls and Diamonds Cutting"
+    assert SEGMENTER.items("Own Thing;" + " " * 40 + value) == ["Own Thing", value]
+    assert SEGMENTER.items("Own Thing;" + " " * 40 + "(2)" + " " * 30 + '"' + value + '"') [-1].strip('"') == value
