@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 # Words that name a kind of address part, with their usual short forms.
 UNIT_WORDS = "unit|office|off|ofc|suite|ste|room|rm|flat|apartment|apt|shop|no|مكتب|وحدة|وحده|رقم|شقة|شقه|محل|غرفة|غرفه"
@@ -35,6 +36,11 @@ _FLOOR = re.compile(
 _UNIT = re.compile(rf"(?:(?<!\w)(?:(?:{UNIT_WORDS})(?!\w)\s*\.?\s*)+|#\s*)[:#.]*\s*(\d+(?:\s*-\s*\d+)?[a-z]?)(?![\w])")
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)?")
 _CUT = re.compile(r"[,،;؛\n\r\t|]|\s[-–]\s")
+# "No. 2" behind a building word numbers the building
+_BUILDING_NO = re.compile(rf"(?<!\w)({'|'.join([*BUILDING_WORDS, 'park', 'pk'])})\b\.?\s*,?\s*no\b\.?\s*:?\s*(\d{{1,2}})(?!\d)")
+#: A unit typed with its floor, "19-18"; a dash between blanks divides parts instead.
+_FLOOR_UNIT = re.compile(r"(?<![\d-])(\d{1,2})-(\d{2,3})(?![\d-])")
+_ALL_FORMS = _DIGITS | _ARABIC_FORMS
 
 
 @dataclass
@@ -50,9 +56,12 @@ class Parts:
     words: list[str] = field(default_factory=list)
 
 
+@lru_cache(maxsize=100_000)
 def sounds(word: str) -> str:
     """``word`` in letters for the sounds that both scripts tell apart, so that one name agrees across them."""
-    return word.translate(_ARABIC_FORMS).translate(ARABIC_SOUNDS).translate(LATIN_SOUNDS)
+    if not word.isascii():
+        word = word.translate(_ARABIC_FORMS).translate(ARABIC_SOUNDS)
+    return word.translate(LATIN_SOUNDS)
 
 
 def is_placeholder(text: str | None) -> bool:
@@ -63,7 +72,9 @@ def read_parts(text: str | None) -> Parts | None:
     """The parts of an address text, None for one that holds no address (null, blank or a placeholder)."""
     if text is None or is_placeholder(text):
         return None
-    flat = _TAG.sub(" , ", text).lower().translate(_DIGITS).translate(_ARABIC_FORMS)
+    flat = _TAG.sub(" , ", text).lower()
+    if not flat.isascii():
+        flat = flat.translate(_ALL_FORMS)
     parts = Parts()
 
     def take(pattern: re.Pattern, flat: str) -> tuple[str | None, str]:
@@ -74,10 +85,9 @@ def read_parts(text: str | None) -> Parts | None:
 
     parts.box, flat = take(_BOX, flat)
     _, flat = take(_FLOOR, flat)
-    # "No. 2" behind a building word numbers the building
-    flat = re.sub(rf"(?<!\w)({'|'.join([*BUILDING_WORDS, 'park', 'pk'])})\b\.?\s*,?\s*no\b\.?\s*:?\s*(\d{{1,2}})(?!\d)", r"\1 \2", flat)
+    flat = _BUILDING_NO.sub(r"\1 \2", flat)
     unit, flat = take(_UNIT, flat)
-    tokens: list[list[str]] = [_WORD.findall(s) for s in _CUT.split(re.sub(r"(\d)\s*-\s*(\d)", r"\1\2", flat))]
+    tokens: list[list[str]] = [_WORD.findall(s) for s in _CUT.split(_FLOOR_UNIT.sub(r"\1\2", flat))]
     for seg in tokens:
         _read_segment(seg, parts)
     if unit is None:
@@ -122,7 +132,7 @@ def _read_segment(seg: list[str], parts: Parts) -> None:
             used.update((i, i + 1))
             parts.names.append(sounds(seg[i + 1]))
             number_at(i + 2)
-        elif w == "مجمع" and i + 2 < len(seg) and seg[i + 1].translate(_ARABIC_FORMS) == "اعمال":
+        elif w == "مجمع" and i + 2 < len(seg) and seg[i + 1] == "اعمال":
             used.update((i, i + 1, i + 2))
             parts.names.append(sounds(seg[i + 2]))
             number_at(i + 3)

@@ -1,13 +1,16 @@
 """The same postal address written differently.
 
-Method: set-containment join for missing parts. An address becomes a set of tokens (its unit with the building, with
-the PO box, with the street). Each address is indexed by its rarest token; fuller addresses are probed through their
-tokens, and an address belongs to the fullest one that has its rarest token if that one contains it by weight (inverse
-frequency) and no component contradicts (unit, building number, PO box). Spellings of building names are settled
-beforehand, for both scripts at once, as names are read by their sounds.
-
-Only the fullest address of each token is kept for probing, so no token gathers its addresses and none are paired up;
-an address that equals another in its parts is handled once.
+Method: set-containment join for missing parts. An address becomes a set of parts (unit, building, building number, PO box,
+street, other words), each weighed by how few addresses have it. An address is indexed by its rarest identifying part
+(building, box or street) within its unit, and by the next rarer ones as long as the parts left could still make it
+contained. Fuller addresses are probed through all their parts; an address belongs to the fullest one that contains enough
+of its weight and contradicts it in no part. A missing part contradicts nothing: an address without a building number or
+without a building belongs to the one place that the index shows for its other parts, and to none where there are several.
+
+Links come from that join alone: an address that no other one contains is a class of its own. A posting keeps only its
+fullest address for each building number (a digit), in an aggregate that combines before its shuffle, so that no posting
+gathers its addresses and none are paired up; addresses equal in their parts are handled once. Spellings of building
+names are settled beforehand, for both scripts at once, as names are read by their sounds.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from collections.abc import Iterator
 from hashlib import sha256
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
@@ -26,9 +29,13 @@ from .spelling import gapped_forms, settle_spellings
 
 #: Share of the weight of an address that the fuller address must contain.
 CONTAINED = 0.4
-#: The unit in its numbered building weighs as much as so many other parts of equal frequency.
-PLACE_PARTS = 4
-_PARTS = "unit string, number string, box string, street string, names array<string>, maybe array<string>, plain string"
+#: How much each kind of part weighs beside its rarity; unit and building make the premises.
+UNIT, BUILDING, NUMBER, BOX, STREET, WORD = range(6)
+FACTORS = {UNIT: 2.0, BUILDING: 2.0, NUMBER: 1.0, BOX: 1.0, STREET: 1.0, WORD: 0.5}
+#: Share of its letters by which a building may differ from that of a fuller address where other parts tell one place.
+NEAR_SHARE = 0.5
+_PARTS = "unit string, number string, box string, street string, names array<string>, maybe array<string>, words array<string>, plain string"
+_KEY = ["unit", "number", "box", "street", "names", "maybe", "words"]
 
 
 def _wording(*texts: str | None) -> str:
@@ -46,17 +53,18 @@ def read_rows(df: DataFrame, id_column: str, latin: str, arabic: str) -> DataFra
             out = []
             for a, b in zip(first, second):
                 p, q = read_parts(a), read_parts(b)
-                if p is None and q is None:
-                    out.append((None, None, None, None, None, None, None))
-                    continue
                 both = [x for x in (p, q) if x]
+                if not both:
+                    out.append((None,) * 8)
+                    continue
                 names = sorted({n for x in both for n in x.names})
                 maybe = [] if names else sorted({n for x in both for n in x.maybe})
-                street = next((sounds(x.street) for x in (p,) if x and x.street), None)
-                pick = lambda k: next((getattr(x, k) for x in both if getattr(x, k)), None)
-                plain = _wording(a if p else None, b if q else None) if not (names or maybe) or not pick("unit") else None
-                out.append((pick("unit"), pick("number"), pick("box"), street, names, maybe, plain))
-            yield pd.DataFrame(out, columns=["unit", "number", "box", "street", "names", "maybe", "plain"])
+                words = sorted({w for x in both for w in x.words})
+                street = sounds(p.street) if p and p.street else None
+                unit, number, box = (next((v for v in (getattr(x, k) for x in both) if v), None) for k in ("unit", "number", "box"))
+                told = unit and (names or maybe or box or street)
+                out.append((unit, number, box, street, names, maybe, words, None if told else _wording(a if p else None, b if q else None)))
+            yield pd.DataFrame(out, columns=["unit", "number", "box", "street", "names", "maybe", "words", "plain"])
 
     texts = df.select(
         F.col(f"`{id_column}`").alias("rec_id"), F.col(f"`{latin}`").cast("string").alias("a"), F.col(f"`{arabic}`").cast("string").alias("b")
@@ -68,20 +76,8 @@ def read_rows(df: DataFrame, id_column: str, latin: str, arabic: str) -> DataFra
     return kept.select("rec_id", key.alias("text_key"), parts("a", "b").alias("p")).select("rec_id", "text_key", "p.*").where("names is not null")
 
 
-def same_premises(df: DataFrame, id_column: str = "rec_id", latin: str = "licAddress", arabic: str = "licArabicAddress") -> DataFrame:
-    """``rec_id``, ``text_key`` and ``premises``, equal for rows that name the same unit of the same building.
-
-    Rows without an address (null, blank or placeholder in both fields) and without an id are left out. A row in which no
-    unit or no building can be read shares its premises only with rows of the same wording. Repeated rows are kept.
-    An empty table gives an empty result; other columns are not read.
-    """
-    rows = checkpointed(read_rows(df, id_column, latin, arabic))
-    known = rows.where("plain is null")
-    profiles = known.groupBy("unit", "number", "box", "street", "names", "maybe").agg(F.count(F.lit(1)).alias("n_rows"))
-    profiles = profiles.withColumn("profile", F.xxhash64("unit", "number", "box", "street", "names", "maybe"))
-    profiles = checkpointed(profiles)
-
-    # spellings of building names, settled over all rows
+def _buildings(profiles: DataFrame) -> DataFrame:
+    """``profile`` and ``building``: the settled name of its building, for those that name one or a word near a known one."""
     sure = profiles.select(F.explode("names").alias("word"), "n_rows").groupBy("word").agg(F.sum("n_rows").alias("n_rows"))
     sure = checkpointed(sure)
     settled = checkpointed(settle_spellings(sure).join(sure, "word").select("word", "settled", "n_rows"))
@@ -95,73 +91,94 @@ def same_premises(df: DataFrame, id_column: str = "rec_id", latin: str = "licAdd
         .join(by_form, "form")
         .select("profile", F.col("top.settled").alias("settled"))
     )
-    names = (
-        named.select("profile", "settled")
-        .union(guessed)
-        .join(support, "settled")
-        .groupBy("profile")
-        .agg(F.max(F.struct("name_rows", "settled")).alias("name"))
-        .select("profile", F.col("name.settled").alias("building"))
-    )
-    full = profiles.join(names, "profile", "left").select(
-        "profile",
-        "n_rows",
-        "unit",
-        "number",
-        "box",
-        "street",
-        F.coalesce("building", F.concat(F.lit("?"), F.array_join(F.when(F.size("names") > 0, F.col("names")).otherwise(F.col("maybe")), " "))).alias("building"),
-    )
-    at = F.concat_ws("|", F.lit("p"), "unit", "building", F.coalesce("number", F.lit("-")))
-    full = checkpointed(full.withColumn("place", at))
-
-    # tokens, weighed by how few rows have them
-    tokens = full.select(
-        "profile",
-        "n_rows",
-        F.explode(
-            F.filter(
-                F.array(
-                    F.col("place"),
-                    F.when(F.col("box").isNotNull(), F.concat_ws("|", F.lit("x"), "unit", "building", "box")),
-                    F.when(F.col("street").isNotNull(), F.concat_ws("|", F.lit("s"), "unit", "building", "street")),
-                ),
-                lambda t: t.isNotNull(),
-            )
-        ).alias("token"),
-    )
-    frequency = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("token_rows"))
-    times = F.when(F.col("token").startswith("p|"), F.lit(PLACE_PARTS)).otherwise(F.lit(1))
-    # a token that no other wording has is misspelt or finds no fuller address, so that nothing can contain it
-    weight = F.when(F.col("token_rows") > 1, times / F.log2(F.col("token_rows") + 1)).otherwise(F.lit(0.0))
-    weighed = tokens.join(frequency, "token").withColumn("weight", weight)
-    found = weighed.groupBy("profile").agg(
-        F.collect_list(F.struct("token", "weight")).alias("tokens"),
-        F.min(F.struct((F.col("token_rows") < 2).cast("int").alias("lone"), "token_rows", "token")).alias("rarest"),
-    )
-    whole = full.join(found, "profile")
-    fullness = F.struct(F.size("tokens").alias("parts"), "n_rows", "profile")
-    fullest = (
-        whole.select(F.explode("tokens.token").alias("token"), fullness.alias("f"), "place", "box", "number", "tokens")
-        .groupBy("token")
-        .agg(F.max(F.struct("f", "place", "box", "number", F.col("tokens.token").alias("have"))).alias("hub"))
-    )
-    probed = whole.withColumn("token", F.col("rarest.token")).join(fullest, "token")
-    inside = F.aggregate(
-        F.filter("tokens", lambda t: F.array_contains(F.col("hub.have"), t["token"])), F.lit(0.0), lambda s, t: s + t["weight"]
-    )
-    total = F.aggregate("tokens", F.lit(0.0), lambda s, t: s + t["weight"])
-    apart = F.col("box").isNotNull() & F.col("hub.box").isNotNull() & (F.col("box") != F.col("hub.box"))
-    apart = apart | ~F.coalesce(F.col("number"), F.lit("-")).eqNullSafe(F.coalesce(F.col("hub.number"), F.lit("-")))
-    belongs = (inside >= CONTAINED * total) & ~apart
-    premises = probed.select(
-        "unit", "number", "box", "street", "profile",
-        F.when(belongs, F.col("hub.place")).otherwise(F.concat_ws("|", "place", "box")).alias("premises"),
+    both = named.select("profile", "settled").union(guessed).join(support, "settled")
+    return both.groupBy("profile").agg(F.max(F.struct("name_rows", "settled")).alias("name")).select("profile", F.col("name.settled").alias("building"))
+
+
+def _weighed(full: DataFrame) -> DataFrame:
+    """``full`` with ``tokens`` (``kind``, ``token``, ``weight``) of each profile.
+
+    A part that no other address has finds none that could contain it and weighs nothing.
+    """
+    kinds = {UNIT: "unit", BUILDING: "building", NUMBER: "number", BOX: "box", STREET: "street"}
+    told = [F.when(F.col(c).isNotNull(), F.struct(F.lit(k).cast("tinyint").alias("kind"), F.xxhash64(F.lit(k), c).alias("token"))) for k, c in kinds.items()]
+    words = F.transform("words", lambda w: F.struct(F.lit(WORD).cast("tinyint").alias("kind"), F.xxhash64(F.lit(WORD), w).alias("token")))
+    tokens = full.select("profile", F.explode(F.filter(F.concat(F.array(*told), words), lambda t: t.isNotNull())).alias("t")).select("profile", "t.kind", "t.token")
+    frequency = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    factor = F.element_at(F.array(*[F.lit(FACTORS[k]) for k in sorted(FACTORS)]), F.col("kind") + 1)
+    weight = F.when(F.col("n") > 1, factor * F.log(1 + F.lit(full.count()) / F.col("n"))).otherwise(0.0).cast("float").alias("weight")
+    by_profile = tokens.join(frequency, "token").groupBy("profile").agg(F.collect_list(F.struct("kind", "token", weight)).alias("tokens"))
+    return full.join(by_profile, "profile")
+
+
+def _sum(tokens: Column) -> Column:
+    return F.aggregate(tokens, F.lit(0.0), lambda s, t: s + t["weight"])
+
+
+def contained(whole: DataFrame) -> DataFrame:
+    """``profile`` and ``premises``: the place of the fullest address that contains it, for the profiles that one contains.
+
+    ``whole`` has ``profile``, ``unit``, ``building``, ``number``, ``box``, ``street`` and ``tokens``.
+    """
+    shows = lambda t: t["kind"].isin(BUILDING, BOX, STREET) & (t["weight"] > 0)
+    whole = whole.withColumn("total", _sum(F.col("tokens")))
+    # fuller addresses probe with every identifying part; each posting keeps the fullest one of each building number
+    known = F.exists("tokens", lambda t: (t["kind"] == BUILDING) & (t["weight"] > 0))
+    place = F.when(known, F.xxhash64("building"))
+    fuller = F.struct(known.alias("known"), "total", "profile", "building", "box", "street", F.transform("tokens", lambda t: t["token"]).alias("have"))
+    posted = whole.select("unit", "number", "box", place.alias("place"), fuller.alias("f"), F.explode(F.filter("tokens", shows)).alias("t"))
+    hubs = posted.groupBy("unit", F.col("t.token").alias("token"), "number").agg(
+        F.max("f").alias("f"), F.min("place").alias("low"), F.max("place").alias("high"), F.min("box").alias("low_box"), F.max("box").alias("high_box")
+    )
+    # whether the posting shows one building, or where it shows none, at most one box
+    one = F.coalesce(F.col("low") == F.col("high"), F.coalesce(F.col("low_box") == F.col("high_box"), F.lit(True)))
+    postings = hubs.groupBy("unit", "token").agg(F.collect_list(F.struct("number", "f", one.alias("one"))).alias("hubs"))
+    # the index: the rarest identifying part, and the next ones while what is left could still be enough
+    ranked = F.array_sort(F.filter("tokens", shows), lambda a, b: F.when(a["weight"] > b["weight"], -1).when(a["weight"] < b["weight"], 1).otherwise(0))
+    indexed = whole.withColumn("ranked", ranked).select(
+        "profile", "unit", "building", "number", "tokens", "total",
+        F.explode(F.filter("ranked", lambda t, i: F.col("total") - _sum(F.slice("ranked", 1, i)) >= CONTAINED * F.col("total"))).alias("t"),
     )
-    keyed = known.withColumn("profile", F.xxhash64("unit", "number", "box", "street", "names", "maybe"))
-    found_rows = keyed.join(premises.select("profile", "premises"), "profile").select("rec_id", "text_key", "premises")
-    plain_rows = rows.where("plain is not null").select("rec_id", "text_key", F.concat(F.lit("t|"), "plain").alias("premises"))
-    return found_rows.unionByName(plain_rows)
+    met = indexed.withColumn("token", F.col("t.token")).join(postings, ["unit", "token"])
+
+    def fits(hub: Column) -> Column:
+        own, other = F.col("building"), hub["f"]["building"]
+        near = (F.levenshtein(own, other) <= NEAR_SHARE * F.greatest(F.length(own), F.length(other))) & hub["one"]
+        return F.when(own.isNull(), hub["one"]).otherwise(F.coalesce((own == other) | near, F.lit(False)))
+
+    fitting = met.withColumn("hubs", F.filter("hubs", fits))
+    numbered = F.filter("hubs", lambda h: h["number"].isNotNull())
+    alike = F.get(F.filter("hubs", lambda h: h["number"].eqNullSafe(F.col("number"))), F.lit(0))
+    bare = F.get(F.filter("hubs", lambda h: h["number"].isNull()), F.lit(0))
+    hub = F.when(F.col("number").isNotNull(), F.coalesce(alike, bare)).when(F.size(numbered) == 1, F.get(numbered, F.lit(0))).otherwise(alike)
+    inside = _sum(F.filter("tokens", lambda t: F.array_contains(F.col("hub.f.have"), t["token"])))
+    found = fitting.withColumn("hub", hub).where("hub is not null").withColumn("inside", inside).where(F.col("inside") >= CONTAINED * F.col("total"))
+    number = F.coalesce("hub.number", "number", F.lit("-"))
+    named, boxed = F.col("hub.f.building").isNotNull(), F.col("hub.f.box").isNotNull()
+    told = lambda kind, part: F.concat_ws("|", F.lit(kind), "unit", part, number)
+    at = F.when(named, told("p", "hub.f.building")).when(boxed, told("x", "hub.f.box")).otherwise(told("s", "hub.f.street"))
+    best = F.max(F.struct(F.col("hub.f.known").alias("known"), named.alias("named"), "inside", at.alias("at")))
+    return found.groupBy("profile").agg(best.alias("b")).select("profile", F.col("b.at").alias("premises"))
+
+
+def same_premises(df: DataFrame, id_column: str = "rec_id", latin: str = "licAddress", arabic: str = "licArabicAddress") -> DataFrame:
+    """``rec_id``, ``text_key`` and ``premises``, equal for rows that name the same unit of the same building.
+
+    Rows without an address (null, blank or placeholder in both fields) and without an id are left out. A row in which no
+    unit, or beside it neither building, box nor street, can be read shares its premises only with rows of the same
+    wording. A row without a building number or without a building has the premises that its other parts tell; where they
+    fit several places, only rows equal to it in their parts have its premises. Repeated rows are kept. An empty table
+    gives an empty result; other columns are not read.
+    """
+    rows = checkpointed(read_rows(df, id_column, latin, arabic).withColumn("profile", F.xxhash64(*_KEY)))
+    known = rows.where("plain is null")
+    profiles = checkpointed(known.groupBy("profile", *_KEY).agg(F.count(F.lit(1)).alias("n_rows")))
+    full = checkpointed(profiles.join(_buildings(profiles), "profile", "left").select("profile", "unit", "building", "number", "box", "street", "words"))
+    whole = checkpointed(_weighed(full).drop("words"))
+    linked = known.select("rec_id", "text_key", "profile").join(contained(whole), "profile", "left")
+    found = linked.select("rec_id", "text_key", F.coalesce("premises", F.concat(F.lit("a|"), F.col("profile").cast("string"))).alias("premises"))
+    plain = rows.where("plain is not null").select("rec_id", "text_key", F.concat(F.lit("t|"), "plain").alias("premises"))
+    return found.unionByName(plain)
 
 
 def premises_pairs(members: DataFrame) -> DataFrame:
