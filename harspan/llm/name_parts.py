@@ -53,6 +53,8 @@ _SHORTS = re.compile(r"\b(?:" + "|".join(map(re.escape, _SHORT)) + r")\b")
 def plain_letters(text: str) -> str:
     """``text`` without markup and marks over letters, in lower case."""
     text = _TAG.sub(" ", text)
+    if text.isascii():
+        return text
     text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
     return text
 

@@ -3,47 +3,54 @@
 Method: character n-gram weighted vectors with distributed sparse top-n cosine similarity joins, thresholded and
 grouped by average-linkage clustering.
 
-Stages, all over every row: (1) distinct texts are read into words (titles, legal forms and short forms resolved);
-(2) misspelt words are settled against the vocabulary of all names through gapped n-grams of word length, the rarest
-features that two spellings share; (3) distinct signatures become vectors of hashed character trigrams, weighted by
-inverse document frequency over all signatures; (4) vectors meet in the posting of their rarest whole-word n-grams,
-where each keeps all its partners above a threshold; contradicting names (another given name, another trade) are no
-partners; (5) average linkage groups them.
-
-Each stage is an aggregate that combines before its shuffle or works on distinct spellings, so a name that holds a
-third of all rows is one signature. A posting is never divided: within it names meet through what they must share not
-to contradict (sounds or initials of given names, trade words), so a large one costs by its partners, not by its square.
+Stages, all over every row: (1) distinct texts are read into words (titles, legal forms and short forms resolved), and
+misspelt words settled against the vocabulary; (2) distinct signatures become vectors of hashed character n-grams,
+weighted by squared inverse document frequency over all signatures; (3) the join: n-grams have one global order, the rarest
+first. A signature is posted under its first n-grams, up to where the rest of its vector is shorter than the threshold,
+so that any two names of that cosine share a posting. Within a posting cosines are computed, pairs below the threshold
+or of contradicting names (another given name, another trade) dropped, and each name keeps its ``TOP_N`` nearest
+partners and its most used one; (4) the partner graph falls into components, and average linkage groups each of them.
+The averages are taken over all pairs of the groups, from sums of vectors, so a pair that top-n left out counts too.
+
+A name that holds a third of all rows is one signature. A posting of more than ``BLOCK`` signatures is compared as pairs
+of blocks in as many units of work, each signature being sent to the units of its block; nothing is dropped. An n-gram
+that many names share weighs little and comes last in the order, so names are not posted under it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpointed, collect_bounded
+from ..operators.packed_values import near as within_edits
+from ..session import checkpointed
 from .name_parts import company_words, given_key, person_words
-from .spelling import gapped_forms, more_used, one_edit, settle_spellings
+from .spelling import settle_spellings
 
-NGRAM = 3
+NGRAM = 4
 #: Character n-grams are hashed to so many features, which bounds the table of their frequencies.
-FEATURES = 1 << 17
-#: Least cosine of two names to be partners, and least average cosine within a group.
-THRESHOLD = 0.25
-#: So many signatures of a posting have their cosines computed at once; bounds memory and changes no result.
-MAX_BLOCK = 400
-#: A word in the names of more than this share of different companies tells the trade or the region, not the company;
-#: fewer than so many companies tell nothing.
-COMMON_SHARE = 0.015
-COMMON_LEAST = 12
-_KEYS = "core string, fine string, sig string"
-#: For each signature its partners that do not contradict it, with their cosine, or 0 below the threshold.
-Near = list[dict[int, float]]
+FEATURES = 1 << 18
+#: Least cosine of two names to be partners, and least average cosine within a group: of companies, of persons.
+THRESHOLDS = (0.5, 0.5)
+#: Nearest partners that a name keeps for the partner graph.
+TOP_N = 10
+#: Signatures of a posting that are compared in one unit of work; bounds memory and changes no result.
+BLOCK = 2_000
+#: An n-gram that a single name has finds no partner; it tells a misspelling as often as another name and weighs less.
+LONE = 0.2
+#: Posted signatures that a task holds at once.
+HELD_POSTS = 100_000
+#: Names and pairs of words that a task remembers.
+REMEMBERED = 500_000
+#: A word in so many signatures is a spelling of its own, unless another one near it has so many times as many.
+ESTABLISHED, TIMES = 4, 3
 
 
 def _words(texts: Column, reader: Callable[[str], list[str]]) -> Column:
@@ -56,155 +63,174 @@ def _words(texts: Column, reader: Callable[[str], list[str]]) -> Column:
     return read.asNondeterministic()(texts)
 
 
-def _settled_words(texts: DataFrame, person: bool) -> DataFrame:
-    """``text_id``, ``words`` (settled, in order), ``lead``, how seldom each ends a name, and ``used``, the rows with it."""
+
+def _settled_words(texts: DataFrame) -> DataFrame:
+    """``text_id``, ``words`` (settled, in order) and ``lead``, how seldom each ends a name."""
     placed = texts.select("text_id", "n_rows", F.size("words").alias("size"), F.posexplode("words").alias("pos", "word"))
     ends = F.when(F.col("pos") == F.col("size") - 1, F.col("n_rows")).otherwise(0)
     counted = checkpointed(placed.groupBy("word").agg(F.sum("n_rows").alias("n_rows"), F.sum(ends).alias("n_last")))
-    if person:
-        # a particle written together with the name is seen when the rest of the word is a name itself, or near one
-        rest = F.when(F.col("word").rlike("^(al|el)") & (F.length("word") >= 8), F.expr("substring(word, 3)"))
-        bare = checkpointed(counted.select("word", "n_rows", rest.alias("rest")).where("rest is not null"))
-        whole = counted.select(F.col("word").alias("rest"), F.col("n_rows").alias("rest_rows"))
-        exact = bare.join(whole, "rest").where("rest_rows > 2 * n_rows").select("word", "rest")
-        typed = F.xxhash64(F.lit("al"), "word")
-        known = counted.select(F.xxhash64("word").alias("id"), F.struct("n_rows", "word").alias("rank"), gapped_forms(F.col("word")).alias("forms"))
-        probes = bare.select(typed.alias("id"), F.struct(F.lit(0).cast("bigint").alias("n_rows"), "word").alias("rank"), gapped_forms(F.col("rest")).alias("forms"))
-        other = counted.select(F.xxhash64("word").alias("other"), F.struct(F.col("n_rows").alias("rows"), "word").alias("top"))
-        met = more_used(known.unionByName(probes)).join(bare.select(typed.alias("id"), "word", "n_rows", "rest"), "id").join(other, "other")
-        met = met.where((F.col("top.rows") > 2 * F.col("n_rows")) & one_edit(F.col("rest"), F.col("top.word")))
-        guessed = met.groupBy("word").agg(F.max("top").alias("top")).select("word", F.col("top.word").alias("near"))
-        joined = bare.select("word").join(exact, "word", "left").join(guessed, "word", "left").select("word", F.coalesce("rest", "near").alias("rest"))
-        counted = checkpointed(counted.join(joined, "word", "left"))
-        meant = counted.select(F.coalesce("rest", "word").alias("word"), "n_rows").groupBy("word").agg(F.sum("n_rows").alias("n_rows"))
-        settled = settle_spellings(checkpointed(meant)).withColumnRenamed("word", "meant")
-        table = counted.select("word", F.coalesce("rest", "word").alias("meant"), "n_rows", "n_last").join(settled, "meant")
-    else:
-        table = settle_spellings(counted).join(counted, "word")
-    table = checkpointed(table.select("word", "settled", "n_rows", "n_last"))
+    table = checkpointed(settle_spellings(counted).join(counted, "word").select("word", "settled", "n_rows", "n_last"))
     seldom = 1 - (F.sum("n_last") + 1) / (F.sum("n_rows") + 2)
-    known = table.select("word", "settled").join(table.groupBy("settled").agg(seldom.alias("lead"), F.sum("n_rows").alias("used")), "settled")
+    known = table.select("word", "settled").join(table.groupBy("settled").agg(seldom.alias("lead")), "settled")
     return (
         placed.select("text_id", "pos", "word")
         .join(known, "word")
         .groupBy("text_id")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", F.col("settled").alias("w"), "lead", "used"))).alias("w"))
-        .select("text_id", F.col("w.w").alias("words"), F.col("w.lead").alias("lead"), F.col("w.used").alias("used"))
+        .agg(F.sort_array(F.collect_list(F.struct("pos", F.col("settled").alias("w"), "lead"))).alias("w"))
+        .select("text_id", F.col("w.w").alias("words"), F.col("w.lead").alias("lead"))
     )
 
 
-def _common_words(settled: DataFrame) -> list[str]:
-    """The words that stand in the names of many different companies; ``settled`` has ``words`` and ``used``.
+def person_signature(words: Column, lead: Column) -> Column:
+    """The given names in order and then the surname: the word that most often ends names, whatever its place here."""
+    at = F.transform(words, lambda w, i: F.when(F.length(w) > 1, F.struct(F.round(F.get(lead, i), 3).alias("lead"), (-i).alias("back"))))
+    last = F.array_min(at)["back"]
+    given = F.filter(words, lambda w, i: i != -last)
+    return F.array_join(F.when(last.isNull(), words).otherwise(F.concat(given, F.array(F.get(words, -last)))), " ")
 
-    What tells a company is the rarest word of its name, for that word itself the next rarest. A word's companies are the
-    different words that tell them, so neither repeats nor variants of one company make its own words common.
-    """
-    ranked = F.array_sort(F.array_distinct(F.arrays_zip("used", "words")))
-    names = settled.select(F.transform(ranked, lambda x: x["words"]).alias("w")).where("size(w) > 1").distinct()
-    told = names.select(F.col("w")[0].alias("first"), F.col("w")[1].alias("second"), F.explode("w").alias("word"))
-    spread = told.select("word", F.when(F.col("word") == F.col("first"), F.col("second")).otherwise(F.col("first")).alias("by")).distinct()
-    spread = checkpointed(spread)
-    companies = spread.select("by").distinct().count()
-    often = spread.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(COMMON_LEAST, COMMON_SHARE * companies)).select("word")
-    return sorted(r[0] for r in collect_bounded(often, 5000, "the words common to many companies"))
-
-
-def _person_keys(words: Column, lead: Column) -> Column:
-    """The surname (the word that most often ends names, whatever its place here), keys of the given names, the signature."""
-
-    @F.pandas_udf(_KEYS)
-    def keys(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for ws, us in batches:
-            out = []
-            for w, u in zip(ws, us):
-                w = list(w) if w is not None else []
-                full = [i for i, x in enumerate(w) if len(x) > 1]
-                if not full:
-                    out.append(("?" + " ".join(w), "", " ".join(w)))
-                    continue
-                last = min(full, key=lambda i: (round(u[i], 3), -i))
-                given = [x for i, x in enumerate(w) if i != last]
-                fine = "/".join(given_key(g) for g in given)
-                out.append((w[last], fine, " ".join([*given, w[last]])))
-            yield pd.DataFrame(out, columns=["core", "fine", "sig"])
-
-    return keys(words, lead)
-
-
-def _company_keys(words: Column, common: list[str]) -> Column:
-    """The words of a company name that are its own, in order of the alphabet, its other words, and the signature."""
-    told = frozenset(common)
-
-    @F.pandas_udf(_KEYS)
-    def keys(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for w in batch:
-                w = list(w) if w is not None else []
-                own = [x for x in w if x not in told] or w
-                rest = [x for x in w if x in told] if own is not w else []
-                out.append((" ".join(sorted(own)), " ".join(sorted(rest)), " ".join([*sorted(own), "|", *sorted(rest)])))
-            yield pd.DataFrame(out, columns=["core", "fine", "sig"])
 
-    return keys(words)
+def company_signature(words: Column) -> Column:
+    """The different words in order of the alphabet, as their order tells nothing."""
+    return F.array_join(F.array_sort(F.array_distinct(words)), " ")
 
 
-def _settled_cores(signed: DataFrame, alike: bool) -> DataFrame:
-    """``signed`` with each core replaced by the one that it was meant for, written in either order, in one word or near it.
+def bare_name(word: str) -> str:
+    """A name without the particle that is written together with it; also of names that only begin like one."""
+    return word[2:] if len(word) >= 8 and word[:2] in ("al", "el") else word
 
-    A core gives way to one used at least twice as often. With ``alike`` it gives way to any that is used as often and
-    stands with the same other words, which tell that no other organisation is meant.
-    """
-    by = ["fine"] if alike else []
-    cores = signed.groupBy("core", *by).agg(F.sum("n_rows").alias("n_rows")).withColumn("id", F.xxhash64("core", *by))
-    cores = checkpointed(cores)
-
-    def runs(core: Column) -> Column:
-        parts = F.split(core, " ")
-        both = F.array(F.concat(parts[0], parts[1]), F.concat(parts[1], parts[0]))
-        return F.when(F.size(parts) == 2, both).otherwise(F.array(F.translate(core, " ", "")))
-
-    rank = F.struct("n_rows", F.col("core").contains(" ").cast("int").alias("spaced"), "core")
-    forms = F.flatten(F.transform(runs(F.col("core")), gapped_forms))
-    if alike:
-        forms = F.transform(forms, lambda f: F.concat(f, F.lit("|"), F.col("fine")))
-    found = more_used(cores.select("id", rank.alias("rank"), forms.alias("forms")))
-    other = cores.select(F.col("id").alias("other"), rank.alias("top"))
-    near = found.join(cores, "id").join(other, "other")
-    # forms of one order are enough on one side
-    near = near.where(F.exists(runs(F.col("top.core")), lambda r: one_edit(F.get(runs(F.col("core")), F.lit(0)), r)))
-    if alike:
-        better = F.col("top") > rank
-    else:
-        better = F.col("top.n_rows") >= 2 * F.col("n_rows")
-        better = better | ((F.col("top.n_rows") >= F.col("n_rows")) & (F.col("top.spaced") == 1) & ~F.col("core").contains(" "))
-    best = near.where(better).groupBy("id").agg(F.max("top").alias("top"))
-    meant = cores.join(best, "id", "left").select("core", *by, F.coalesce("top.core", "core").alias("meant"))
-    if alike:
-        # what a core gives way to may itself give way
-        further = meant.select(F.col("core").alias("meant"), *by, F.col("meant").alias("last"))
-        meant = checkpointed(meant).join(further, ["meant", *by], "left").select("core", *by, F.coalesce("last", "meant").alias("meant"))
-    return signed.join(meant, ["core", *by]).withColumn("core", F.col("meant")).drop("meant")
 
+@lru_cache(maxsize=200_000)
+def word_features(word: str, person: bool) -> tuple[int, ...]:
+    """The hashed n-grams of a word; those of persons and of companies are told apart."""
+    padded = f" {bare_name(word) if person else word} "
+    return tuple(crc32(f"{person:d}{padded[i : i + NGRAM]}".encode()) % FEATURES for i in range(max(1, len(padded) - NGRAM + 1)))
 
-def _ngram_features(sig: str) -> list[int]:
-    padded = f" {sig} "
-    return [crc32(padded[i : i + NGRAM].encode()) % FEATURES for i in range(max(1, len(padded) - NGRAM + 1))]
 
+class Weights:
+    """Document frequencies of all features, and what follows from them."""
 
-def _feature_frequencies(signatures: DataFrame) -> np.ndarray:
-    """In how many signatures each hashed n-gram occurs, over all of them; at most ``FEATURES`` numbers."""
+    def __init__(self, frequency: np.ndarray, persons: int, companies: int) -> None:
+        self.frequency, self.totals = frequency, (companies, persons)
 
-    @F.pandas_udf("array<int>")
-    def features(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([sorted(set(_ngram_features(s))) for s in batch], dtype=object)
+    def vectors(self, sigs: list[str], persons: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each signature's features begin (and the last ones end), the features in the global order, the rarest
+        first, and their weights, those of a signature being of length 1 together."""
+        lists = [[f for w in s.split() for f in word_features(w, p)] for s, p in zip(sigs, persons.tolist())]
+        rows = np.repeat(np.arange(len(sigs)), np.fromiter(map(len, lists), np.int64, len(lists)))
+        found = np.unique(rows * FEATURES + np.fromiter((f for x in lists for f in x), np.int64, len(rows)))
+        rows, feats = found // FEATURES, found % FEATURES
+        order = np.lexsort((feats, self.frequency[feats], rows))
+        rows, feats = rows[order], feats[order]
+        begins = np.searchsorted(rows, np.arange(len(sigs) + 1))
+        weight = self.weigh(self.frequency[feats], persons.astype(int)[rows])
+        return begins, feats, weight / np.sqrt(np.add.reduceat(weight * weight, begins[:-1]))[rows]
 
-    counted = signatures.select(F.explode(features("sig")).alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("n"))
-    out = np.zeros(FEATURES, dtype=np.float64)
-    for f, n in collect_bounded(counted, FEATURES, "the table of n-gram frequencies"):
-        out[f] = n
-    return out
+    def vector(self, sig: str, person: bool) -> dict[int, float]:
+        _, feats, weight = self.vectors([sig], np.array([person]))
+        return dict(zip(feats.tolist(), weight.tolist()))
+
+    def weigh(self, often: np.ndarray, person: np.ndarray) -> np.ndarray:
+        return np.log(1 + np.array(self.totals)[person] / np.maximum(often, 1)) ** 2 * np.where(often > 1, 1.0, LONE)
+
+    def support(self, word: str, person: bool) -> int:
+        """At most how many signatures have the word."""
+        return int(min(self.frequency[f] for f in word_features(word, person)))
+
+
+def one_edit(a: str, b: str) -> bool:
+    """Whether two words are equal but for one letter more, less or other, or two neighbours swapped."""
+    if abs(len(a) - len(b)) > 1:
+        return False
+    i = 0
+    while i < min(len(a), len(b)) and a[i] == b[i]:
+        i += 1
+    x, y = a[i:], b[i:]
+    return x[1:] == y[1:] or x[1:] == y or x == y[1:] or (x[:2] == y[:2][::-1] and x[2:] == y[2:])
+
+
+class Rules:
+    """Which names contradict each other however near their spellings are."""
+
+    def __init__(self, weights: Weights) -> None:
+        self.weights = weights
+        self._support: dict[tuple[str, bool], int] = {}
+        self._near: dict[tuple[str, str, bool], bool] = {}
+        self._words: dict[str, frozenset[str]] = {}
+
+    def support(self, word: str, person: bool) -> int:
+        key = (word, person)
+        if key not in self._support:
+            self._support[key] = self.weights.support(word, person)
+        return self._support[key]
+
+    def near(self, a: str, b: str, person: bool) -> bool:
+        """Whether one word may be a misspelling of the other: one edit apart and not both in wide use, or both rare.
+
+        Words with digits are no misspellings of each other.
+        """
+        if a == b:
+            return True
+        key = (a, b, person)
+        if key not in self._near:
+            if len(self._near) > REMEMBERED:
+                self._near.clear()
+            self._near[key] = self._misspelt(a, b, person)
+        return self._near[key]
+
+    def _misspelt(self, a: str, b: str, person: bool) -> bool:
+        if min(len(a), len(b)) < 5 or abs(len(a) - len(b)) > 2 or (a[0] != b[0] and a[-1] != b[-1]):
+            return False
+        if any(c.isdigit() for c in a + b):
+            return False
+        low, high = sorted((self.support(a, person), self.support(b, person)))
+        if low >= ESTABLISHED and high < TIMES * low:
+            return False
+        if one_edit(a, b):
+            return True
+        # two misspellings of one word may be two edits apart
+        return high < ESTABLISHED and min(len(a), len(b)) >= 6 and within_edits(a, b, 2)
+
+    def persons(self, a: str, b: str) -> bool:
+        x, y = a.split(), b.split()
+        if x[-1] != y[-1]:
+            if not any(self.near(u, v, True) for u in {x[-1], bare_name(x[-1])} for v in {y[-1], bare_name(y[-1])}):
+                return True
+        return person_conflict(x[:-1], y[:-1])
+
+    def companies(self, a: str, b: str) -> bool:
+        """Whether each name has words that the other lacks, misspelt and run-together ones being alike."""
+        x, y = self._split(a), self._split(b)
+        x, y = set(x - y), set(y - x)
+        if not x or not y:
+            return False
+        for u in sorted(x):
+            for v in sorted(y):
+                if self.near(u, v, False):
+                    x.discard(u)
+                    y.discard(v)
+                    break
+        for whole, parts in ((x, y), (y, x)):
+            for w in sorted(whole):
+                heads = [u for u in parts if u[0] == w[0]] if len(w) >= 8 else []
+                pair = next(((u, v) for u in heads for v in parts if u != v and abs(len(u) + len(v) - len(w)) < 2 and one_edit(w, u + v)), None)
+                if pair:
+                    whole.discard(w)
+                    parts.difference_update(pair)
+        return bool(x) and bool(y)
+
+    def _split(self, sig: str) -> frozenset[str]:
+        if sig not in self._words:
+            if len(self._words) > REMEMBERED:
+                self._words.clear()
+            self._words[sig] = frozenset(sig.split())
+        return self._words[sig]
+
+    def apart(self, a: str, b: str, person: bool) -> bool:
+        return self.persons(a, b) if person else self.companies(a, b)
+
+
+# Letters that one name begins with in different spellings.
+SAME_INITIALS = [{"o", "u"}]
 
 
 def person_conflict(a: list[str], b: list[str]) -> bool:
@@ -212,7 +238,7 @@ def person_conflict(a: list[str], b: list[str]) -> bool:
 
     def fits(x: str, y: str) -> bool:
         if len(x) == 1 or len(y) == 1:
-            return x[0] == y[0]
+            return x[0] == y[0] or {x[0], y[0]} in SAME_INITIALS
         return given_key(x) == given_key(y)
 
     if not a or not b:
@@ -224,246 +250,356 @@ def person_conflict(a: list[str], b: list[str]) -> bool:
     return True
 
 
-def company_conflict(a: list[str], b: list[str]) -> bool:
-    """Whether two lists of trade and region words name different organisations."""
-    return not (set(a) <= set(b) or set(b) <= set(a))
-
-
-def _meeting_persons(said: list[list[str]]) -> Iterator[set[int]]:
-    """For each list of given names the earlier ones that may fit it: all that do are among them."""
-    index: dict[tuple, list[int]] = {}
-    bare: list[int] = []
-
-    def held(word: str) -> list[str]:
-        return [f"i{word}"] if len(word) == 1 else [f"k{given_key(word)}", f"l{word[0]}"]
-
-    def fitting(word: str) -> list[str]:
-        return [f"i{word}", f"l{word}"] if len(word) == 1 else [f"k{given_key(word)}", f"i{word[0]}"]
-
-    for i, names in enumerate(said):
-        found = set(bare)
-        if not names:
-            found = set(range(i))
-            bare.append(i)
-        elif len(names) == 1:
-            for x in fitting(names[0]):
-                found.update(index.get(("first", x), ()))
-        else:
-            for x in fitting(names[0]):
-                found.update(index.get(("only", x), ()))
-                for y in fitting(names[1]):
-                    found.update(index.get((x, y), ()))
-            if len(names) == 2:
-                for x in fitting(names[1]):
-                    for y in fitting(names[0]):
-                        found.update(index.get((x, y), ()))
-        yield found
-        for x in held(names[0]) if names else ():
-            index.setdefault(("first", x), []).append(i)
-            if len(names) == 1:
-                index.setdefault(("only", x), []).append(i)
-            else:
-                for y in held(names[1]):
-                    index.setdefault((x, y), []).append(i)
-
-
-def _meeting_companies(said: list[list[str]]) -> Iterator[set[int]]:
-    """For each list of words those that have its rarest word; of two lists, the one that holds the other is among them."""
-    index: dict[str, list[int]] = {}
-    for i, words in enumerate(said):
-        for w in set(words):
-            index.setdefault(w, []).append(i)
-    for words in said:
-        yield set(min((index[w] for w in words), key=len)) if words else set(range(len(said)))
-
-
-def compatible(said: list[list[str]], person: bool) -> list[set[int]]:
-    """For each list of given names or trade words all the others that do not contradict it."""
-    conflict = person_conflict if person else company_conflict
-    near: list[set[int]] = [set() for _ in said]
-    for i, found in enumerate(_meeting_persons(said) if person else _meeting_companies(said)):
-        for j in found:
-            if j != i and j not in near[i] and not conflict(said[i], said[j]):
-                near[i].add(j)
-                near[j].add(i)
-    return near
-
-
-def link_block(sigs: list[str], frequency: np.ndarray, total: int, person: bool, threshold: float = THRESHOLD) -> list[int]:
-    """Group numbers of the signatures of one posting: cosine partners, then average linkage without conflicts."""
-    n = len(sigs)
-    if n == 1:
-        return [0]
-    said = [s.split()[:-1] if person else s.partition("|")[2].split() for s in sigs]
-    near = compatible(said, person)
+def posted(ids: np.ndarray, sigs: list[str], persons: np.ndarray, used: np.ndarray, weights: Weights, thresholds: tuple[float, float] = THRESHOLDS) -> pd.DataFrame:
+    """The postings of some signatures: ``unit`` of work, ``side`` (its block there), and the signature with its features."""
+    begins, feats, weight = weights.vectors(sigs, persons)
+    rows = np.repeat(np.arange(len(sigs)), np.diff(begins))
+    # the length of each vector from each of its features on
+    ahead = np.r_[np.cumsum((weight * weight)[::-1])[::-1], 0.0]
+    rest = ahead[:-1] - ahead[begins[1:]][rows]
+    least = np.array(thresholds)[persons.astype(int)][rows]
+    often = weights.frequency[feats]
+    # an n-gram that no other name has needs no posting
+    at = np.flatnonzero((rest >= least * least - 1e-6) & (often > 1))
+    packed = feats.astype(np.int32).tobytes()
+    blobs = [packed[4 * x : 4 * y] for x, y in zip(begins[:-1].tolist(), begins[1:].tolist())]
+    row, gram, blocks = rows[at], feats[at], -(-often[at] // BLOCK)
+    own = ids[row] % blocks
+    copy = np.repeat(np.arange(len(at)), blocks)
+    other = np.arange(len(copy)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    row, gram, blocks, own = row[copy], gram[copy], blocks[copy], own[copy]
+    low, high = np.minimum(own, other), np.maximum(own, other)
+    return pd.DataFrame(
+        {
+            "unit": gram + FEATURES * (low * blocks + high), "side": ((own == high) & (low != high)).astype(np.int32), "gram": gram.astype(np.int32), "id": ids[row],
+            "person": persons[row], "n_rows": used[row], "sig": [sigs[r] for r in row.tolist()], "features": [blobs[r] for r in row.tolist()],
+        }
+    )
+
+
+def partners(posts: pd.DataFrame, weights: Weights, thresholds: tuple[float, float] = THRESHOLDS) -> pd.DataFrame:
+    """``a``, ``b``, ``cosine`` and the rows of ``b`` for pairs of the same units that reach the threshold and do not contradict.
+
+    ``posts`` holds whole units, one after another. A pair belongs to the posting of the first n-gram that its names share.
+    There their cosine is at most the product of the lengths of the two vectors from that n-gram on, so that each name is
+    compared only with those of its unit whose rest is long enough.
+    """
+    rules = Rules(weights)
+    ids = posts["id"].to_numpy()
+    _, heads, at = np.unique(ids, return_index=True, return_inverse=True)
+    packed, texts = posts["features"].tolist(), posts["sig"].tolist()
+    persons = posts["person"].to_numpy(dtype=bool)[heads]
+    used, names, sigs = posts["n_rows"].to_numpy()[heads], ids[heads], [texts[h] for h in heads]
+    vectors = [np.frombuffer(packed[h], dtype=np.int32) for h in heads]
+    width = max(map(len, vectors))
+    # behind its own features each row has a feature of no name
+    feats = np.full((len(heads), width), FEATURES, dtype=np.int32)
+    share = np.zeros((len(heads), width), dtype=np.float32)
+    sizes = np.fromiter(map(len, vectors), np.int64, len(vectors))
+    filled = np.arange(width)[None, :] < sizes[:, None]
+    feats[filled] = np.concatenate(vectors)
+    share[filled] = weights.weigh(weights.frequency[feats[filled]], np.repeat(persons.astype(int), sizes))
+    share /= np.sqrt((share * share).sum(axis=1, keepdims=True))
+    rest = np.sqrt(np.maximum(np.cumsum((share * share)[:, ::-1], axis=1)[:, ::-1], 0))
+    least = np.array(thresholds, dtype=np.float32)[persons.astype(int)]
+
+    gram, side, unit = posts["gram"].to_numpy(), posts["side"].to_numpy(), posts["unit"].to_numpy()
+    depth = (feats[at] == gram[:, None]).argmax(axis=1)
+    length = np.minimum(rest[at, depth], 1.0).astype(np.float64)
+    order = np.lexsort((-length, unit))
+    at, depth, length, gram, side, unit = (x[order] for x in (at, depth, length, gram, side, unit))
+    begins = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
+    group = np.repeat(np.arange(len(begins)), np.diff(np.r_[begins, len(unit)]))
+    start = begins[group]
+    # of the earlier ones of its unit, those long enough come first
+    enough = np.searchsorted(group * 2 + (1 - length), group * 2 + (1 - least[at] / length) + 1e-6, side="right") - start
+    count = np.clip(enough, 0, np.arange(len(unit)) - start)
+    blocks = -(-weights.frequency[gram] // BLOCK)
+    pair = unit // FEATURES
+    # a unit of two blocks has the pairs across them only
+    across = pair // blocks != pair % blocks
+
+    found: list[tuple] = []
+    rows, parts, limit = feats[at], share[at], least[at] - 1e-6
+    place = np.zeros(FEATURES + 1, dtype=np.int32)
+    for low, high in zip(begins.tolist(), np.r_[begins[1:], len(unit)].tolist()):
+        if not count[low:high].any():
+            continue
+        # the vectors of the unit over its own features, and all their products at once
+        wide = int(sizes[at[low:high]].max())
+        held = rows[low:high, :wide].ravel()
+        place[held] = np.arange(len(held), dtype=np.int32)
+        last = place[held]
+        column = np.cumsum(last == np.arange(len(held)))[last] - 1
+        dense = np.zeros((high - low, int(column.max()) + 1), dtype=np.float32)
+        dense[np.repeat(np.arange(high - low), wide), column] = parts[low:high, :wide].ravel()
+        dot = dense @ dense.T
+        for p, q in zip(*(x.tolist() for x in np.nonzero(dot >= limit[low:high, None]))):
+            i, j = at[low + p], at[low + q]
+            if q >= p or i == j or (across[low + p] and side[low + p] == side[low + q]):
+                continue
+            # a pair that shares an earlier n-gram is found in the posting of that
+            until, back = depth[low + p], depth[low + q]
+            if until and back and not set(feats[i, :until].tolist()).isdisjoint(feats[j, :back].tolist()):
+                continue
+            if not rules.apart(sigs[i], sigs[j], bool(persons[i])):
+                found.append((names[i], names[j], dot[p, q], used[j]))
+                found.append((names[j], names[i], dot[p, q], used[i]))
+    return pd.DataFrame(found, columns=["a", "b", "cosine", "n_rows"]).astype({"a": "int64", "b": "int64", "cosine": "float32", "n_rows": "int64"})
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """``node`` and ``component`` (its least node) of a graph whose ``edges`` (``a``, ``b``) are given in both directions."""
+    labels = checkpointed(edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("component")).withColumnRenamed("a", "node"))
+    while True:
+        told = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("component").alias("low"))
+        # a label is a node itself, whose own label may be lower
+        beyond = labels.select(F.col("node").alias("component"), F.col("component").alias("next"))
+        step = labels.join(told.withColumnRenamed("a", "node"), "node").join(beyond, "component")
+        step = step.select("node", F.least("component", "low", "next").alias("new"), "component")
+        step = checkpointed(step)
+        labels = step.select("node", F.col("new").alias("component"))
+        if not step.where("new <> component").limit(1).count():
+            return labels
+
+
+def link_component(sigs: list[str], used: list[int], person: bool, edges: list[tuple[int, int, float]], weights: Weights, thresholds: tuple[float, float] = THRESHOLDS) -> list[int]:
+    """Group numbers of the signatures of one component: average linkage over its ``edges`` without contradictions."""
+    rules = Rules(weights)
+    near: list[set[int]] = [set() for _ in sigs]
+    for i, j, _ in edges:
+        near[i].add(j)
+        near[j].add(i)
+    memo: dict[tuple[int, int], bool] = {}
+
+    def apart(i: int, j: int) -> bool:
+        key = (i, j) if i < j else (j, i)
+        if key not in memo:
+            memo[key] = rules.apart(sigs[i], sigs[j], person)
+        return memo[key]
 
     def clash(js: list[int]) -> bool:
-        own = set(js)
-        return any(len(near[j] & own) < len(own) - 1 for j in js)
+        return any(apart(x, y) for k, x in enumerate(js) for y in js[:k])
 
     def part(i: int, others: list[int]) -> None:
         for j in others:
             near[i].discard(j)
             near[j].discard(i)
 
+    said = [s.split()[:-1] if person else s.split() for s in sigs]
     if person:
         # initials that fit several persons tell none of them
         full = [bool(g) and len(g[0]) > 1 for g in said]
-        for i in range(n):
-            if not full[i]:
-                fits = [j for j in near[i] if full[j]]
-                if clash(fits):
-                    # those with as many given names are meant before those with fewer
-                    meant = {j for j in fits if len(said[j]) >= len(said[i])}
-                    told = bool(meant) and not clash(list(meant))
-                    part(i, [j for j in near[i] if (full[j] or said[j] != said[i]) and not (told and meant <= near[j] | {j})])
+        for i in range(len(sigs)):
+            if full[i]:
+                continue
+            fits = sorted(j for j in near[i] if full[j])
+            if clash(fits):
+                # those with as many given names are meant before those with fewer
+                meant = [j for j in fits if len(said[j]) >= len(said[i])]
+                told = bool(meant) and not clash(meant)
+                part(i, [j for j in near[i] if (full[j] or said[j] != said[i]) and not (told and not any(apart(j, m) for m in meant))])
     else:
         # a name without its trade fits several organisations of a group and tells none of them
-        for i in range(n):
-            fits = list(near[i])
-            if clash(fits) and all(len(said[j]) > len(said[i]) for j in fits):
+        for i in range(len(sigs)):
+            fits = sorted(near[i])
+            if all(len(said[j]) > len(said[i]) for j in fits) and clash(fits):
                 part(i, fits)
-    return _linked(_cosines([_ngram_features(s) for s in sigs], near, frequency, total, threshold), threshold)
-
-
-def _cosines(features: list[list[int]], near: list[set[int]], frequency: np.ndarray, total: int, threshold: float) -> Near:
-    """Cosines of hashed n-gram vectors weighted by inverse document frequency, for the pairs in ``near``."""
-    out: Near = [{} for _ in near]
-    for start in range(0, len(near), MAX_BLOCK):
-        own = range(start, min(start + MAX_BLOCK, len(near)))
-        for lower in range(0, start + 1, MAX_BLOCK):
-            others = range(lower, min(lower + MAX_BLOCK, len(near)))
-            pairs = [(i, j) for i in own for j in near[i] if j < i and j in others]
-            if not pairs:
-                continue
-            held = sorted({x for pair in pairs for x in pair})
-            place = {x: k for k, x in enumerate(held)}
-            columns, inverse = np.unique(np.concatenate([np.array(features[x], dtype=np.int64) for x in held]), return_inverse=True)
-            rows = np.repeat(np.arange(len(held)), [len(features[x]) for x in held])
-            matrix = np.zeros((len(held), len(columns)))
-            np.add.at(matrix, (rows, inverse), 1.0)
-            matrix *= np.log((1 + total) / (1 + frequency[columns])) + 1
-            matrix /= np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
-            sim = matrix @ matrix.T
-            for i, j in pairs:
-                value = float(sim[place[i], place[j]])
-                out[i][j] = out[j][i] = value if value >= threshold else 0.0
-    return out
+    vectors = [weights.vector(s, person) for s in sigs]
+    kept = [(i, j, v) for i, j, v in edges if j in near[i]]
+    return average_linkage(vectors, kept, apart, thresholds[person])
 
 
-def average_linkage(sim: np.ndarray, apart: np.ndarray, threshold: float) -> list[int]:
-    """Group numbers by average linkage; groups that hold a conflicting pair are never joined."""
-    n = len(sim)
-    return _linked([{j: float(sim[i, j]) for j in range(n) if j != i and not apart[i, j]} for i in range(n)], threshold)
+def average_linkage(vectors: list[dict[int, float]], edges: list[tuple[int, int, float]], apart: Callable[[int, int], bool], threshold: float) -> list[int]:
+    """Group numbers by average linkage along ``edges``; groups that hold a pair ``apart`` are never joined.
 
-
-def _linked(near: Near, threshold: float) -> list[int]:
-    """Average linkage over the pairs that may be joined; a pair that is not in ``near`` keeps its groups apart."""
-    size = [1] * len(near)
-    parent = list(range(len(near)))
-    heap = [(-v, i, j) for i, row in enumerate(near) for j, v in row.items() if i < j and v >= threshold]
+    The average cosine of two groups is that of all their pairs: the product of the sums of their vectors.
+    """
+    n = len(vectors)
+    sums, members, parent, stamp = [dict(v) for v in vectors], [[i] for i in range(n)], list(range(n)), [0] * n
+    near: list[set[int]] = [set() for _ in range(n)]
+    heap = []
+    for i, j, v in edges:
+        near[i].add(j)
+        near[j].add(i)
+        if i < j and v >= threshold:
+            heap.append((-v, i, j, 0, 0))
     heapify(heap)
+
+    def average(i: int, j: int) -> float:
+        x, y = (sums[i], sums[j]) if len(sums[i]) < len(sums[j]) else (sums[j], sums[i])
+        return sum(v * y[f] for f, v in x.items() if f in y) / (len(members[i]) * len(members[j]))
+
     while heap:
-        value, i, j = heappop(heap)
-        if near[i].get(j) != -value:
+        _, i, j, si, sj = heappop(heap)
+        if stamp[i] != si or stamp[j] != sj:
             continue  # one of the two has changed since
-        a, b, whole = near[i], near[j], size[i] + size[j]
-        row = {k: (v * size[i] + b[k] * size[j]) / whole for k, v in a.items() if k in b}
-        for k in a:
-            near[k].pop(i, None)
-        for k in b:
-            near[k].pop(j, None)
-        near[i], near[j], size[i], parent[j] = row, {}, whole, i
-        for k, v in row.items():
-            near[k][i] = v
+        for f, v in sums[j].items():
+            sums[i][f] = sums[i].get(f, 0.0) + v
+        members[i] += members[j]
+        parent[j] = i
+        stamp[i] += 1
+        stamp[j] = -1
+        others = (near[i] | near[j]) - {i, j}
+        sums[j] = {}
+        near[j] = set()
+        near[i] = set()
+        for k in others:
+            near[k].discard(j)
+            near[k].discard(i)
+            if any(apart(x, y) for x in members[i] for y in members[k]):
+                continue
+            near[i].add(k)
+            near[k].add(i)
+            v = average(i, k)
             if v >= threshold:
-                heappush(heap, (-v, min(i, k), max(i, k)))
+                heappush(heap, (-v, min(i, k), max(i, k), stamp[min(i, k)], stamp[max(i, k)]))
     out = []
-    for i in range(len(parent)):
+    for i in range(n):
         while parent[i] != i:
             i = parent[i]
         out.append(i)
     return out
 
 
-def link_names(df: DataFrame, id_column: str, field: str, person: bool) -> DataFrame:
-    """``rec_id``, ``text_key`` and ``entity`` of each row whose ``field`` holds a name.
+def _frequencies(signatures: DataFrame) -> Weights:
+    """In how many signatures each hashed n-gram occurs, over all of them; at most ``FEATURES`` numbers reach the driver."""
 
-    Rows with a null, blank or wordless name, or without an id, are left out. Equal texts share their entity; repeated
-    rows stay. Other columns are not read. An empty table gives an empty result.
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(FEATURES, dtype=np.int64)
+        for batch in batches:
+            found = [f for s, p in zip(batch["sig"], batch["person"]) for f in {f for w in s.split() for f in word_features(w, p)}]
+            total += np.bincount(np.array(found, dtype=np.int64), minlength=FEATURES)
+        held = np.flatnonzero(total)
+        yield pd.DataFrame({"f": held.astype(np.int32), "n": total[held]})
+
+    counted = signatures.select("sig", "person").mapInPandas(count, "f int, n bigint").groupBy("f").agg(F.sum("n").alias("n")).toArrow()
+    frequency = np.zeros(FEATURES, dtype=np.int64)
+    frequency[counted["f"].to_numpy()] = counted["n"].to_numpy()
+    sizes = {r.person: r.n for r in signatures.groupBy("person").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return Weights(frequency, sizes.get(True, 0), sizes.get(False, 0))
+
+
+def partner_graph(signatures: DataFrame, weights: Weights, thresholds: tuple[float, float] = THRESHOLDS, top_n: int = TOP_N) -> DataFrame:
+    """``a``, ``b`` and ``cosine``, in both directions: the sparse top-n cosine join of ``signatures`` with themselves.
+
+    ``signatures`` has ``id``, ``person``, ``sig`` and ``n_rows``. Each name keeps its ``top_n`` nearest partners and the
+    most used one; what either of two names keeps is an edge of both.
     """
-    spark = df.sparkSession
-    rows = df.select(F.col(f"`{id_column}`").alias("rec_id"), F.col(f"`{field}`").cast("string").alias("text")).where(
-        "rec_id is not null and length(trim(text)) > 0"
-    )
-    keyed = rows.withColumn("text_key", F.xxhash64("text"))
-    texts = keyed.groupBy("text_key", "text").agg(F.count(F.lit(1)).alias("n_rows"))
-    texts = checkpointed(
-        texts.select(F.col("text_key").alias("text_id"), "n_rows", _words(F.col("text"), person_words if person else company_words).alias("words")).where(
-            "size(words) > 0"
-        )
-    )
-    settled = _settled_words(texts, person).join(texts.select("text_id", "n_rows"), "text_id")
-    if person:
-        signed = settled.select("text_id", "n_rows", _person_keys(F.col("words"), F.col("lead")).alias("k"))
-    else:
-        settled = checkpointed(settled)
-        common = _common_words(settled)
-        signed = settled.select("text_id", "n_rows", _company_keys(F.col("words"), common).alias("k"))
-    signed = signed.select("text_id", "n_rows", "k.*")
-    if not person:
-        signed = _settled_cores(checkpointed(signed), alike=False)
-        signed = _settled_cores(checkpointed(signed), alike=True)
-        signed = signed.withColumn("sig", F.concat_ws(" ", F.col("core"), F.lit("|"), F.col("fine")))
-    signed = checkpointed(signed)
-    blocked = checkpointed(signed.select("core", "sig").distinct())
-    frequency = _feature_frequencies(blocked)
-    n_signatures = blocked.count()
-    shared = spark.sparkContext.broadcast(frequency)
-    single = F.count(F.lit(1)).alias("members")
-    sizes = blocked.groupBy("core").agg(single)
+    shared = signatures.sparkSession.sparkContext.broadcast(weights)
+
+    def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield posted(batch["id"].to_numpy(), batch["sig"].tolist(), batch["person"].to_numpy(), batch["n_rows"].to_numpy(), shared.value, thresholds)
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(map(len, held)) < HELD_POSTS:
+                continue
+            # units come one after another, so all but the last one are whole
+            both = pd.concat(held, ignore_index=True)
+            whole = (both["unit"] != both["unit"].iloc[-1]).to_numpy()
+            if whole.any():
+                yield partners(both[whole].reset_index(drop=True), shared.value, thresholds)
+            held = [both[~whole]]
+        if held and sum(map(len, held)):
+            yield partners(pd.concat(held, ignore_index=True), shared.value, thresholds)
+
+    schema = "unit bigint, side int, gram int, id bigint, person boolean, n_rows bigint, sig string, features binary"
+    posts = signatures.select("id", "person", "sig", "n_rows").mapInPandas(post, schema)
+    pairs = posts.repartition("unit").sortWithinPartitions("unit").mapInPandas(compare, "a bigint, b bigint, cosine float, n_rows bigint")
+    own = Window.partitionBy("a")
+    kept = pairs.withColumn("near", F.row_number().over(own.orderBy(F.desc("cosine"), "b"))).withColumn("top", F.row_number().over(own.orderBy(F.desc("n_rows"), "b")))
+    kept = kept.where((F.col("near") <= top_n) | (F.col("top") == 1)).select("a", "b", "cosine")
+    return kept.union(kept.select("b", "a", "cosine")).distinct()
+
+
+def link_signatures(signatures: DataFrame, thresholds: tuple[float, float] = THRESHOLDS, top_n: int = TOP_N) -> DataFrame:
+    """``id`` and ``entity`` (the id of one of its signatures) of every signature that has partners."""
+    weights = _frequencies(signatures)
+    edges = checkpointed(partner_graph(signatures, weights, thresholds, top_n))
+    labels = checkpointed(components(edges))
+    shared = signatures.sparkSession.sparkContext.broadcast(weights)
+    node = signatures.join(labels, signatures["id"] == labels["node"]).select("component", "id", F.lit(0).cast("bigint").alias("other"), F.lit(0.0).cast("float").alias("cosine"), "person", "sig", "n_rows")
+    edge = edges.where("a < b").join(labels, F.col("a") == F.col("node"))
+    edge = edge.select("component", F.col("a").alias("id"), F.col("b").alias("other"), "cosine", F.lit(None).cast("boolean").alias("person"), F.lit(None).cast("string").alias("sig"), F.lit(0).cast("bigint").alias("n_rows"))
 
     def cluster(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[str, list[str]] = {}
+        held: dict[int, tuple[list, list]] = {}
 
-        def done(cores: list[str]) -> pd.DataFrame:
+        def done(names: list[int]) -> pd.DataFrame:
             out = []
-            for core in cores:
-                sigs = sorted(held.pop(core))
-                groups = link_block(sigs, shared.value, n_signatures, person)
-                first: dict[int, str] = {}
-                for g, sig in zip(groups, sigs):
-                    first.setdefault(g, sig)
-                out.extend((core, sig, f"{core}:{first[g]}") for sig, g in zip(sigs, groups))
-            return pd.DataFrame(out, columns=["core", "sig", "entity"])
-
-        # postings come one after another, so all but the last one of a batch are whole
+            for name in names:
+                nodes, links = held.pop(name)
+                nodes.sort(key=lambda x: (-x[3], x[2]))
+                place = {x[0]: k for k, x in enumerate(nodes)}
+                near = [(place[a], place[b], v) for a, b, v in sorted(links)]
+                near = [(min(i, j), max(i, j), v) for i, j, v in near]
+                groups = link_component([x[2] for x in nodes], [x[3] for x in nodes], bool(nodes[0][1]), near, shared.value, thresholds)
+                out.extend((x[0], nodes[g][0]) for x, g in zip(nodes, groups))
+            return pd.DataFrame(out, columns=["id", "entity"]).astype("int64")
+
+        # components come one after another, so all but the last one of a batch are whole
         for batch in batches:
-            for core, sig in zip(batch["core"], batch["sig"]):
-                held.setdefault(core, []).append(sig)
+            for c, i, other, v, person, sig, n in zip(*(batch[x] for x in ("component", "id", "other", "cosine", "person", "sig", "n_rows"))):
+                nodes, links = held.setdefault(c, ([], []))
+                if sig is None:
+                    links.append((i, int(other), v))
+                else:
+                    nodes.append((i, person, sig, n))
             yield done(list(held)[:-1])
         yield done(list(held))
 
-    sized = blocked.join(sizes, "core")
-    alone = sized.where("members = 1").select("core", "sig", F.concat_ws(":", "core", "sig").alias("entity"))
-    several = sized.where("members > 1").select("core", "sig")
-    together = several.repartition("core").sortWithinPartitions("core").mapInPandas(cluster, "core string, sig string, entity string")
-    entities = alone.unionByName(together)
-    by_text = signed.select("text_id", "core", "sig").join(entities, ["core", "sig"]).select(F.col("text_id").alias("text_key"), F.xxhash64("entity").alias("entity"))
-    return keyed.select("rec_id", "text_key").join(by_text, "text_key")
+    both = node.unionByName(edge)
+    return both.repartition("component").sortWithinPartitions("component").mapInPandas(cluster, "id bigint, entity bigint")
 
 
-def name_pairs(members: DataFrame) -> DataFrame:
-    """Every pair of rows of one entity whose texts differ, the smaller id first."""
-    a = members.select(F.col("rec_id").alias("rec_a"), F.col("text_key").alias("ta"), "entity")
-    b = members.select(F.col("rec_id").alias("rec_b"), F.col("text_key").alias("tb"), "entity")
-    return a.join(b, "entity").where("rec_a < rec_b and ta <> tb").select("rec_a", "rec_b")
+def link_fields(df: DataFrame, id_column: str, fields: dict[str, bool], thresholds: tuple[float, float] = THRESHOLDS, top_n: int = TOP_N) -> DataFrame:
+    """``field_name``, ``rec_id``, ``text_key`` and ``entity`` of each row and field that holds a name.
+
+    ``fields`` tells of each field whether it holds persons. Rows with a null, blank or wordless name, or without an id,
+    are left out. Equal texts share their entity; repeated rows stay. Other columns are not read. An empty table gives an
+    empty result. Names of different fields are never linked, unless both hold persons or both companies.
+    """
+    read, signed = None, None
+    for field, person in fields.items():
+        rows = df.select(F.lit(field).alias("field_name"), F.lit(person).alias("person"), F.col(f"`{id_column}`").alias("rec_id"), F.col(f"`{field}`").cast("string").alias("text"))
+        rows = rows.where("rec_id is not null and length(trim(text)) > 0")
+        read = rows if read is None else read.unionByName(rows)
+    keyed = read.select("field_name", "rec_id", "person", F.xxhash64("text").alias("text_key"), F.xxhash64("person", "text").alias("text_id"), "text")
+    for person in sorted(set(fields.values())):
+        texts = keyed.where(F.col("person") == person).groupBy("text_id", "text").agg(F.count(F.lit(1)).alias("n_rows"))
+        words = _words(F.col("text"), person_words if person else company_words)
+        texts = checkpointed(texts.select("text_id", "n_rows", words.alias("words")).where("size(words) > 0"))
+        settled = _settled_words(texts).join(texts.select("text_id", "n_rows"), "text_id")
+        sig = person_signature(F.col("words"), F.col("lead")) if person else company_signature(F.col("words"))
+        part = settled.select("text_id", "n_rows", F.lit(person).alias("person"), sig.alias("sig"))
+        signed = part if signed is None else signed.unionByName(part)
+    signed = checkpointed(signed.withColumn("id", F.xxhash64("person", "sig")))
+    signatures = checkpointed(signed.groupBy("id", "person", "sig").agg(F.sum("n_rows").alias("n_rows")))
+    linked = link_signatures(signatures, thresholds, top_n)
+    by_text = signed.select("text_id", "id").join(linked, "id", "left").select("text_id", F.coalesce("entity", "id").alias("entity"))
+    return keyed.select("field_name", "rec_id", "text_key", "text_id").join(by_text, "text_id").drop("text_id")
+
+
+def link_names(df: DataFrame, id_column: str, field: str, person: bool, thresholds: tuple[float, float] = THRESHOLDS, top_n: int = TOP_N) -> DataFrame:
+    """``rec_id``, ``text_key`` and ``entity`` of each row whose ``field`` holds a name (see ``link_fields``)."""
+    return link_fields(df, id_column, {field: person}, thresholds, top_n).drop("field_name")
 
 
 def found_pairs(df: DataFrame, id_column: str, fields: dict[str, bool]) -> DataFrame:
-    """``field_name``, ``rec_a`` and ``rec_b`` for each field, by whether it holds persons."""
-    out = None
-    for name, person in fields.items():
-        part = name_pairs(checkpointed(link_names(df, id_column, name, person))).select(F.lit(name).alias("field_name"), "rec_a", "rec_b")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """``field_name``, ``rec_a`` and ``rec_b``: every pair of rows of one entity whose texts differ, the smaller id first."""
+    members = checkpointed(link_fields(df, id_column, fields))
+    a = members.select("field_name", F.col("rec_id").alias("rec_a"), F.col("text_key").alias("ta"), "entity")
+    b = members.select("field_name", F.col("rec_id").alias("rec_b"), F.col("text_key").alias("tb"), "entity")
+    return a.join(b, ["field_name", "entity"]).where("rec_a < rec_b and ta <> tb").select("field_name", "rec_a", "rec_b")
+
+
+def entity_links(members: DataFrame) -> DataFrame:
+    """``members`` as classes: ``field_name``, ``rec_id``, ``entity`` and ``n_links``, the rows of the entity in other spellings."""
+    spelt = members.groupBy("field_name", "entity", "text_key").agg(F.count(F.lit(1)).alias("alike"))
+    totals = spelt.groupBy("field_name", "entity").agg(F.sum("alike").alias("all_rows"))
+    links = spelt.join(totals, ["field_name", "entity"]).select("field_name", "entity", "text_key", (F.col("all_rows") - F.col("alike")).alias("n_links"))
+    return members.join(links, ["field_name", "entity", "text_key"]).select("field_name", "rec_id", "entity", "n_links")

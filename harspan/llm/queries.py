@@ -64,10 +64,8 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_entities(spark: SparkSession, d: str) -> DataFrame:
-    """The organisation or person of each row, as a class."""
-    df = read_table(spark, d, "registry_rows")
-    parts = [names.link_names(df, "rec_id", f, p).select(F.lit(f).alias("field_name"), "rec_id", "entity") for f, p in NAME_FIELDS.items()]
-    return parts[0].unionByName(parts[1])
+    """The organisation or person of each row, as a class, and the number of rows in other spellings that it links to."""
+    return names.entity_links(checkpointed(names.link_fields(read_table(spark, d, "registry_rows"), "rec_id", NAME_FIELDS)))
 
 
 def _packed(spark: SparkSession, d: str) -> DataFrame:
