@@ -1,12 +1,12 @@
 """Frequency of every distinct value or term.
 
-Method: vertical layout. For every term the identifiers of its records are kept as bitmaps, one for each block of
-32,768 identifiers that the term occurs in; blocks without the term take no space, and the shuffle's codec squeezes
-what is left. Each task builds its own bitmaps and occurrence counters, bitmaps are merged by union, and the number of
-records is read from their cardinality.
+Method: vertical layout. For every term the identifiers of its records are kept as a compressed bitmap: of its words of 64
+identifiers only those that hold a record exist, each with a counter of the occurrences in it. Each task builds the words
+and counters of its own records, words of several tasks are merged by union, the number of records of a term is read from
+the cardinality of its words, and that of a field from the union of the bitmaps of its terms.
 
-All of it runs inside the JVM as aggregates with map-side combination, so that a term in a third of all records is at
-most one bitmap per task and block before the shuffle.
+All of it runs inside the JVM as aggregates over fixed-size buffers with map-side combination, and the words of a term are
+spread over all tasks, so a term in a third of all records gathers nowhere.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import squeeze
 from ..operators.packed_values import split_values
-from ..session import collect_bounded
+from ..session import checkpointed, collect_bounded
 
 #: Fields whose limits may be given; the table of limits holds one row for each.
 MAX_FIELDS = 1000
@@ -31,41 +31,39 @@ def folded(text: Column) -> Column:
 def term_rows(df: DataFrame, id_column: str, fields: list[str], packed: dict[str, list[str]]) -> DataFrame:
     """``field_name``, ``rec_id`` and ``term_text`` for every value; fields in ``packed`` are split with their dictionary.
 
-    Null and blank values give no row; a value that a record holds twice gives two.
+    Null and blank values give no row; a value that a record holds twice gives two. The table is read once.
     """
-    parts = []
+    held = []
     for field in fields:
         text = F.col(f"`{field}`").cast("string")
-        if field in packed:
-            part = df.select(F.col(f"`{id_column}`").alias("rec_id"), F.explode(split_values(text, packed[field])).alias("v"))
-        else:
-            part = df.select(F.col(f"`{id_column}`").alias("rec_id"), text.alias("v"))
-        parts.append(part.select(F.lit(field).alias("field_name"), "rec_id", folded(F.col("v")).alias("term_text")).where("term_text is not null"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        held.append(F.struct(F.lit(field).alias("field_name"), (split_values(text, packed[field]) if field in packed else F.array(text)).alias("values")))
+    flat = df.select(F.col(f"`{id_column}`").alias("rec_id"), F.inline(F.array(*held)))
+    flat = flat.select("field_name", "rec_id", F.explode("values").alias("v"))
+    return flat.select("field_name", "rec_id", folded(F.col("v")).alias("term_text")).where("term_text is not null")
+
+
+def term_words(terms: DataFrame) -> DataFrame:
+    """The bitmaps: ``field_name``, ``term_text``, ``place`` of a word, its ``bits``, and ``n`` occurrences in it.
+
+    Identifiers may be negative. Occurrences without an identifier have a null place and no bits.
+    """
+    bit = F.expr("shiftleft(1L, cast(rec_id & 63 as int))")
+    placed = terms.select("field_name", "term_text", F.shiftright(F.col("rec_id").cast("bigint"), 6).alias("place"), bit.alias("bit"))
+    return placed.groupBy("field_name", "term_text", "place").agg(F.bit_or("bit").alias("bits"), F.count(F.lit(1)).alias("n"))
 
 
 def count_terms(terms: DataFrame) -> DataFrame:
     """``field_name``, ``term_text``, ``n_occurrences``, ``n_records`` and ``n_field_records`` of every term.
 
     ``terms`` has ``field_name``, ``rec_id`` and ``term_text``. Records are told apart by ``rec_id``; occurrences without
-    one are counted, but in no record. ``n_field_records`` is the number of records with any term of the field, read from
-    the union of the bitmaps of the field's terms.
+    one are counted, but in no record. ``n_field_records`` is the number of records with any term of the field.
     """
-    placed = terms.withColumns(
-        {"block": F.bitmap_bucket_number(F.coalesce("rec_id", F.lit(0))), "bit": F.bitmap_bit_position(F.coalesce("rec_id", F.lit(0))), "known": F.col("rec_id").isNotNull()}
-    )
-    # vertical lists: one bitmap for each term and block of identifiers
-    bitmaps = placed.groupBy("field_name", "term_text", "known", "block").agg(
-        F.bitmap_construct_agg("bit").alias("bits"), F.count(F.lit(1)).alias("n")
-    )
-    held = F.when(F.col("known"), F.bitmap_count("bits")).otherwise(0)
-    per_term = bitmaps.groupBy("field_name", "term_text").agg(F.sum("n").alias("n_occurrences"), F.sum(held).alias("n_records"))
-    # a field's records: the union over its terms, block by block
-    per_block = placed.where("known").groupBy("field_name", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    per_field = per_block.groupBy("field_name").agg(F.sum(F.bitmap_count("bits")).alias("n_field_records"))
+    # read once, for both counts
+    words = checkpointed(term_words(terms))
+    held = F.coalesce(F.bit_count("bits"), F.lit(0))
+    per_term = words.groupBy("field_name", "term_text").agg(F.sum("n").alias("n_occurrences"), F.sum(held).alias("n_records"))
+    union = words.where("place is not null").groupBy("field_name", "place").agg(F.bit_or("bits").alias("bits"))
+    per_field = union.groupBy("field_name").agg(F.sum(F.bit_count("bits")).alias("n_field_records"))
     return per_term.join(per_field, "field_name", "left").select(
         "field_name",
         "term_text",
