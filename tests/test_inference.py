@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from harspan.operators import openapi, pagination, snippets
-from harspan.operators.openapi import joined, shape_of
+from harspan.operators.openapi import shape_of
 
 SCHEMA = "call_id long, host string, path string, method string, url string, status int, request_headers map<string,string>, query_params map<string,string>, request_body_json string, response_body_json string"
 
@@ -60,17 +60,30 @@ def test_sure_numbers_go_before_cursors(spark):
 
 
 def test_shapes():
-    null = {"type": "string", "nullable": True}
-    assert joined(null, {"type": "integer"}) == {"type": "integer", "nullable": True} == joined({"type": "integer"}, null)
-    assert joined({"type": "string"}, null) == {"type": "string"} and joined(null, {"type": "string"}) == null
-    assert joined({"type": "integer"}, {"type": "number"}) == {"oneOf": [{"type": "integer"}, {"type": "number"}]}
-    one, two = {"oneOf": [{"type": "integer"}, {"type": "number"}]}, {"oneOf": [{"type": "boolean"}]}
-    assert joined(one, two) == one
-    assert joined(one, {"type": "integer"}) == one
-    a, b = {"type": "object", "properties": {"x": {"type": "integer"}}, "nullable": True}, {"type": "object", "properties": {"y": {"type": "string"}}}
-    assert joined(a, b) == {"type": "object", "properties": {"x": {"type": "integer"}, "y": {"type": "string"}}}
+    assert shape_of(None, 1) == {"type": "integer", "nullable": True} == shape_of(1, None)
+    assert shape_of("x", None) == {"type": "string"} and shape_of(None, "x") == shape_of(None) == {"type": "string", "nullable": True}
+    assert shape_of(1, 1.5) == {"oneOf": [{"type": "integer"}, {"type": "number"}]} == shape_of(1, 1.5, 2)
+    assert shape_of(1, 1.5, True, None) == {"oneOf": [{"type": "integer"}, {"type": "number"}, {"type": "boolean"}], "nullable": True}
+    assert shape_of({"x": 1}, {"y": "a"}) == {"type": "object", "properties": {"x": {"type": "integer"}, "y": {"type": "string"}}}
+    assert shape_of({"x": 1}, 5, {"y": None}) == {"oneOf": [{"type": "object", "properties": {"x": {"type": "integer"}, "y": {"type": "string", "nullable": True}}}, {"type": "integer"}]}
     assert shape_of([True, 1, 2.0, "x", None, {}])["items"] == {"oneOf": [{"type": "boolean"}, {"type": "integer"}, {"type": "number"}, {"type": "string"}], "nullable": True}
-    assert shape_of([]) == {"type": "array", "items": {"type": "string"}}
+    assert shape_of([]) == {"type": "array", "items": {"type": "string"}} and shape_of() is None
+    assert shape_of([], [[1]])["items"] == {"oneOf": [{"type": "string"}, {"type": "array", "items": {"type": "integer"}}]}
+    deep = {}
+    for _ in range(40):
+        deep = {"a": [deep]}
+    assert json.dumps(shape_of(deep)).count("object") == 7
+
+
+def test_schemas_against_all_bodies_at_once(spark):
+    bodies = ['{"a":1,"b":[{"c":null}]}', '{"b":[{"c":"x","d":2.5}],"a":null}', "[1]", "no json", None, "", "null", '{"e":{}}', '{"a":"t","a.b":[]}']
+    df = calls(spark, *[(f"/x/{i}", None, b if i % 2 else None, b) for i, b in enumerate(bodies)]).repartition(5)
+    row = openapi.endpoint_schemas(df.withColumn("place", F.lit(1))).collect()
+    assert len(row) == 1
+    told = [json.loads(b) for b in bodies if b and b.startswith(("{", "["))]
+    assert json.loads(row[0].response_schema) == shape_of(*told)
+    assert json.loads(row[0].request_schema) == shape_of(json.loads(bodies[1]), json.loads(bodies[7]))
+    assert openapi.endpoint_schemas(df.where("false")).count() == 0
 
 
 def test_document(spark):
