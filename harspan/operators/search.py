@@ -11,7 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import collect_bounded
+
 CHARSET = "abcdefghijklmnopqrstuvwxyz0123456789"
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
 #: 36^3 terms are the most that are broadcast.
 BROADCAST_LEVELS = 3
 
@@ -75,3 +78,49 @@ def pending_terms(log: DataFrame, max_depth: int = 5) -> DataFrame:
     )
     seeds = log.sparkSession.range(1).select(F.explode(letters).alias("term"), F.lit(None).cast("string").alias("parent_term"))
     return seeds.unionByName(children).join(done.select("term"), "term", "left_anti").select("term", "parent_term", F.length("term").alias("depth"))
+
+
+def term_results(rows: DataFrame, text: str, terms: DataFrame, cap: int, max_depth: int = 5) -> DataFrame:
+    """What the search of each distinct term finds: ``term``, ``n_returned`` (at most ``cap``) and ``hit_cap``.
+
+    A term finds the texts that begin with it, without case. Terms compare trimmed and in lower case; null and blank ones,
+    and those longer than ``max_depth``, are left out. A term that finds nothing has 0.
+    """
+    wanted = terms.select(F.lower(F.trim(F.col("term"))).alias("term")).where(F.length("term").between(1, max_depth)).distinct()
+    low = F.lower(F.col(text))
+    begins = rows.select(F.explode(F.transform(F.sequence(F.lit(1), F.lit(max_depth)), lambda k: F.when(F.length(low) >= k, F.left(low, k)))).alias("term"))
+    counts = begins.where("term is not null").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    found = wanted.join(counts, "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("n"))
+    return found.select("term", F.least("n", F.lit(cap)).cast("bigint").alias("n_returned"), (F.col("n") >= cap).alias("hit_cap"))
+
+
+def _having(rows: DataFrame, text: str, terms: list[str]) -> DataFrame:
+    """``rows`` once for every one of ``terms`` that ``text`` contains, without case."""
+    low = F.lower(F.col(text))
+    held = F.filter(F.array(*[F.lit(t) for t in terms]), lambda t: low.contains(t))
+    return rows.withColumn("term", F.explode(held))
+
+
+def letter_sweep(rows: DataFrame, text: str, order: list[Column], cap: int, letters: str = LETTERS) -> DataFrame:
+    """The bag of what one search for each letter finds: rows whose text contains it, the first ``cap`` by ``order``, with ``term``."""
+    return capped_rows(_having(rows, text, list(letters)), "term", order, cap)
+
+
+def split_search(rows: DataFrame, text: str, key: str, order: list[Column], cap: int, split_at: int, letters: str = LETTERS) -> DataFrame:
+    """The first row of each ``key`` that a sweep by letters finds, when letters that bring many new keys are split once.
+
+    A letter whose search brings at least ``split_at`` keys that no earlier letter brought is followed by its searches with
+    every second letter. Searches find texts that contain the term, at most ``cap`` rows by ``order``. Rows without a key
+    are left out. The result has the columns of ``rows`` and ``term``, the search that brought the key.
+    """
+    known = rows.where(F.col(key).isNotNull())
+    swept = letter_sweep(known, text, order, cap, letters)
+    first = swept.groupBy(key).agg(F.min("term").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_new"))
+    crowded = sorted(r.term for r in collect_bounded(first.where(F.col("n_new") >= split_at), len(letters), "the list of letters"))
+    found = swept
+    if crowded:
+        pairs = capped_rows(_having(known, text, [a + b for a in crowded for b in letters]), "term", order, cap)
+        found = swept.unionByName(pairs)
+    # a letter comes before its pairs, and those before the next letter
+    best = found.groupBy(key).agg(F.min(F.struct("term", F.struct(*order).alias("_place"), F.struct(*[c for c in found.columns if c != "term"]).alias("r"))).alias("b"))
+    return best.select("b.r.*", "b.term")

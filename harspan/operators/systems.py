@@ -49,11 +49,13 @@ def data_cells(calls: DataFrame) -> DataFrame:
 
 
 def data_rows(calls: DataFrame) -> DataFrame:
-    """The same with one map per row, and the call's method, status and time."""
+    """The same with one map per row, and the call's method, URL (null where calls have none), status and time."""
+    if "url" not in calls.columns:
+        calls = calls.withColumn("url", F.lit(None).cast("string"))
     read = with_templates(calls.where("response_body_json is not null")).select(
-        system_name(F.col("host")).alias("system"), "path_template", "call_id", "method", "status", "started_at", flat_rows(F.col("response_body_json")).alias("rows")
+        system_name(F.col("host")).alias("system"), "path_template", "call_id", "method", "url", "status", "started_at", flat_rows(F.col("response_body_json")).alias("rows")
     )
-    rows = read.select("system", "path_template", "call_id", "method", "status", "started_at", F.posexplode("rows").alias("row_idx", "cells"))
+    rows = read.select("system", "path_template", "call_id", "method", "url", "status", "started_at", F.posexplode("rows").alias("row_idx", "cells"))
     return rows.withColumn("cells", F.map_from_entries(F.transform("cells", lambda c: F.struct(c["key"], c["value"]))))
 
 
@@ -68,7 +70,7 @@ def column_order(rows: DataFrame, *by: str) -> DataFrame:
 def wide_rows(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Rows of one endpoint as a table with the given columns, absent cells empty, and the call's facts behind them."""
     cells = [F.coalesce(F.element_at("cells", c), F.lit("")).alias(c) for c in columns]
-    return rows.select(*cells, F.col("method").alias("_method"), F.col("status").alias("_status"), F.col("started_at").alias("_started_at"))
+    return rows.select(*cells, F.col("method").alias("_method"), F.col("url").alias("_url"), F.col("status").alias("_status"), F.col("started_at").alias("_started_at"))
 
 
 def status_sets(calls: DataFrame) -> DataFrame:

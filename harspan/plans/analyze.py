@@ -62,11 +62,13 @@ def report_sheets(found: Analysis) -> list[tuple[str, DataFrame]]:
         if not df.isEmpty():
             sheets.append((name, df))
     by = ["system", "path_template"]
-    listed = systems.column_order(found.rows, *by).groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "key"))), lambda x: x["key"]).alias("keys"))
-    first = found.rows.groupBy(*by).agg(F.min("call_id").alias("first"))
+    # every sheet takes its own rows from here
+    rows = checkpointed(found.rows)
+    listed = systems.column_order(rows, *by).groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "key"))), lambda x: x["key"]).alias("keys"))
+    first = rows.groupBy(*by).agg(F.min("call_id").alias("first"))
     groups = collect_bounded(listed.join(first, by), MAX_SHEETS, "the list of endpoints with data")
     for g in sorted(groups, key=lambda g: g.first):
-        own = found.rows.where((F.col("system") == g.system) & (F.col("path_template") == g.path_template)).orderBy("call_id", "row_idx")
+        own = rows.where((F.col("system") == g.system) & (F.col("path_template") == g.path_template)).orderBy("call_id", "row_idx")
         sheets.append((f"{g.system}_{g.path_template}", systems.wide_rows(own, list(g["keys"]))))
     return sheets
 

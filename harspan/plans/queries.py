@@ -14,13 +14,15 @@ from ..functions.paths import is_dynamic, named_template, plain_template
 from ..functions.text import unbreak
 from ..functions.tokens import jwt_expiry
 from ..functions.urls import url_host, url_path
-from ..operators import checks, dedup, openapi, packed_values, pagination, registry, search, snapshot_diff, snippets, systems
+from ..operators import checks, dedup, openapi, packed_values, pagination, picking, registry, search, snapshot_diff, snippets, systems
 from ..session import read_table
 from ..sinks.xlsx import column_widths
-from ..sources.har import calls_table
+from ..sources.har import calls_table, parse_archives
 from .probe import probe_calls, probe_sql
 
 VALUE_FIELDS = ["licenseActivities", "licenseArabicActivities"]
+CLEANED = ["customerName", "customerArabicName", "licAddress", "licArabicAddress", "licManagerName", "licManagerArabicName", "licenseStatus",
+           "customerRegistrationStatus"]
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -83,7 +85,7 @@ def event_cells(spark: SparkSession, d: str) -> DataFrame:
 
 def envelope_rows(spark: SparkSession, d: str) -> DataFrame:
     """Licences that answers of the directory show: one row per item of each envelope."""
-    rows = systems.data_rows(_calls(spark, d).where("path = '/apexremote'"))
+    rows = systems.data_rows(_calls(spark, d))
     has = F.map_contains_key("cells", "licNo")
     kept = rows.where(has & F.col("cells")["licNo"].isNotNull())
     return kept.groupBy(F.col("cells")["licNo"].alias("licno"), F.col("cells")["tid"].alias("tid")).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -157,8 +159,9 @@ def first_example(spark: SparkSession, d: str) -> DataFrame:
 
 
 def redacted_headers(spark: SparkSession, d: str) -> DataFrame:
-    calls = read_table(spark, d, "calls").where("request_headers is not null")
-    given = F.map_concat("request_headers", F.create_map(F.lit("Authorization"), F.concat(F.lit("Bearer "), F.md5(F.col("call_id").cast("string")))))
+    calls = read_table(spark, d, "calls")
+    own = F.coalesce("request_headers", F.create_map().cast("map<string,string>"))
+    given = F.map_concat(own, F.create_map(F.lit("Authorization"), F.concat(F.lit("Bearer "), F.md5(F.col("call_id").cast("string")))))
     return calls.select("call_id", F.explode(redacted(given)).alias("name", "value"))
 
 
@@ -177,7 +180,7 @@ def html_clean(spark: SparkSession, d: str) -> DataFrame:
 
 def registry_clean(spark: SparkSession, d: str) -> DataFrame:
     df = read_table(spark, d, "registry_rows")
-    return registry.clean_fields(df).select("rec_id", "customerName", "licManagerName", "licenseStatus")
+    return registry.clean_fields(df).select("rec_id", *CLEANED)
 
 
 def registry_export(spark: SparkSession, d: str) -> DataFrame:
@@ -237,7 +240,7 @@ def composite_key_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 def anti_seen(spark: SparkSession, d: str) -> DataFrame:
     rows = read_table(spark, d, "registry_rows").select("rec_id", "licNo")
-    snapshots = read_table(spark, d, "licence_snapshots").where("snapshot_no = 1 and licNo is not null").select(F.col("licNo").alias("key")).distinct()
+    snapshots = read_table(spark, d, "licence_snapshots").where("licNo is not null").select(F.col("licNo").alias("key")).distinct()
     return dedup.not_seen(rows, F.col("licNo"), snapshots)
 
 
@@ -268,9 +271,8 @@ def pending_terms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pagination_numeric(spark: SparkSession, d: str) -> DataFrame:
-    """Paging by numbers, for endpoints of one parameter kind each."""
-    calls = _calls(spark, d).where("query_params['page'] is not null or query_params['offset'] is not null")
-    keyed = pagination.endpoint_calls(calls)
+    """Paging by numbers, over all calls of each endpoint."""
+    keyed = pagination.endpoint_calls(_calls(spark, d))
     return pagination.numeric_profiles(keyed).select("method", "path_template", F.col("key").alias("param_name"), "strategy", F.col("step").alias("step_size"), F.col("first").alias("initial_value"), F.round("confidence", 4).alias("confidence"))
 
 
@@ -304,6 +306,77 @@ def endpoint_schemas(spark: SparkSession, d: str) -> DataFrame:
     return found.select("method", "path_template", "response_schema", "request_schema")
 
 
+def post_calls(spark: SparkSession, d: str) -> DataFrame:
+    """Calls by POST whose URL names the remote entry point."""
+    return picking.matching(_calls(spark, d), url_has="apexremote", method="POST").select("call_id", "path", "status")
+
+
+def host_calls(spark: SparkSession, d: str) -> DataFrame:
+    """Calls of hosts with a word in their name."""
+    return picking.matching(_calls(spark, d), host_has="zone").select("call_id", "host", "url")
+
+
+def body_matches(spark: SparkSession, d: str) -> DataFrame:
+    return picking.matching(_calls(spark, d), body_has="LLC").select("call_id")
+
+
+def first_last_calls(spark: SparkSession, d: str) -> DataFrame:
+    """The first and the last call of each method and host that hold a JSON body."""
+    calls = _calls(spark, d).where("response_body_json is not null")
+    both = [picking.first_match(calls, "host", "method", last=last).select(F.lit(name).alias("which"), "host", "method", "call_id") for name, last in (("first", False), ("last", True))]
+    return both[0].unionByName(both[1])
+
+
+def running_unique_total(spark: SparkSession, d: str) -> DataFrame:
+    """How many different licences are known after each search that brought one."""
+    return picking.running_total(rows_added_per_term(spark, d), "n_added", "search_id")
+
+
+def file_names(spark: SparkSession, d: str) -> DataFrame:
+    calls = read_table(spark, d, "calls")
+    return calls.groupBy(picking.file_name(F.col("host"), F.col("path")).alias("file_name")).agg(F.count(F.lit(1)).alias("n_calls"))
+
+
+def bot_findings(spark: SparkSession, d: str) -> DataFrame:
+    found = checks.scan(probe_calls(spark, d), checks.BOT_CHECKS)
+    return found.groupBy("system", "category", "severity").agg(F.count(F.lit(1)).alias("n_findings"))
+
+
+def har_calls(spark: SparkSession, d: str) -> DataFrame:
+    """Calls read back from archives of one entry each, written as such captures are."""
+    calls = read_table(spark, d, "calls")
+    pairs = lambda c: F.transform(F.map_entries(c), lambda e: F.struct(e["key"].alias("name"), e["value"].alias("value")))
+    request = F.struct("method", "url", pairs("request_headers").alias("headers"), pairs("query_params").alias("queryString"), F.struct(F.col("request_body_json").alias("text")).alias("postData"))
+    content = F.struct(F.col("mime_type").alias("mimeType"), F.col("response_text_raw").alias("text"))
+    entry = F.struct(F.col("started_at").alias("startedDateTime"), F.col("time_ms").alias("time"), request.alias("request"),
+                     F.struct("status", pairs("response_headers").alias("headers"), content.alias("content")).alias("response"))
+    archives = calls.select(F.col("call_id").alias("file_no"), F.to_json(F.struct(F.struct(F.array(entry).alias("entries")).alias("log"))).alias("value"))
+    back = parse_archives(archives)
+    return back.select(F.shiftright("call_id", 24).alias("call_id"), "host", "path", "method", "url", "status", "mime_type", "started_at", "time_ms", "response_text_raw",
+                       F.array_join(F.array_sort(F.map_keys("query_params")), ",").alias("params"), F.col("request_body_json").isNotNull().alias("sent"))
+
+
+def body_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """The kinds of the outermost values of JSON answers, per endpoint."""
+    places = openapi.body_places(pagination.endpoint_calls(_calls(spark, d))).where("side = 0 and place = '[]'")
+    return places.select("method", "path_template", "kind", "n_calls")
+
+
+def letter_sweep(spark: SparkSession, d: str) -> DataFrame:
+    rows = read_table(spark, d, "registry_rows").select("rec_id", "customerName")
+    return search.letter_sweep(rows, "customerName", [F.col("rec_id")], 100)
+
+
+def split_search(spark: SparkSession, d: str) -> DataFrame:
+    rows = read_table(spark, d, "registry_rows").select("rec_id", "licNo", "customerName")
+    return search.split_search(rows, "customerName", "licNo", [F.col("rec_id")], 100, 50)
+
+
+def term_results(spark: SparkSession, d: str) -> DataFrame:
+    """What each term of the log would find among all rows."""
+    return search.term_results(read_table(spark, d, "registry_rows"), "customerName", read_table(spark, d, "search_log"), 100)
+
+
 def widths(spark: SparkSession, d: str) -> DataFrame:
     return column_widths(read_table(spark, d, "registry_rows").select("rec_id", "licAddress", "customerName", "licenseActivities"), 22, 55, 4)
 
@@ -416,6 +489,10 @@ def _security_sql() -> dict[str, str]:
         "vendor_signals": f"{probe} {vendor}",
         "fragile_params": f"{probe} select * from ({fragile}) where names <> ''",
         "findings_pivot": f"{probe}, {cookie}, {every} select host as system, count(*) filter (severity = 'high') as high, count(*) filter (severity = 'medium') as medium, count(*) filter (severity = 'low') as low, count(*) filter (severity = 'info') as info, count(*) as total from every group by 1",
+        "bot_findings": f"""{probe}, b as (
+            select call_id, 'CAPTCHA detected' as category, 'blocker' as severity from ({captcha}) union all select call_id, 'Bot-defense signal', severity from ({vendor})
+            union all select call_id, 'Replay-fragile request', 'medium' from ({fragile}) where names <> '')
+          select host as system, category, severity, count(*) as n_findings from b join probe using (call_id) group by 1, 2, 3""",
         "security_findings": f"{probe}, {cookie}, {every} select host as system, category, severity, count(*) as n_findings from every group by 1, 2, 3",
         "endpoint_status": f"""{probe}, blocked as ({captcha} union all select call_id, description from ({vendor})), fragile as (select * from ({fragile}) where names <> ''),
           f as (select p.host, p.path, p.method, p.call_id, case when p.call_id in (select call_id from blocked) then 2 when p.call_id in (select call_id from fragile) then 1 else 0 end as flag from probe p)
@@ -450,7 +527,7 @@ def _registry_sql() -> dict[str, str]:
     width = lambda c: f"select '{c}' as column_name, cast(least(greatest(greatest(max(list_max(list_transform(string_split(coalesce(cast({c} as varchar), ''), chr(10)), lambda x: length(x)))), {len(c)}) + 4, 22), 55) as integer) as width from registry_rows"
     return {
         "html_clean": f"select rec_id, {clean('licAddress')} as address from registry_rows",
-        "registry_clean": "select rec_id, " + ", ".join(f"{clean(c)} as {c}" for c in ["customerName", "licManagerName", "licenseStatus"]) + " from registry_rows",
+        "registry_clean": "select rec_id, " + ", ".join(f"{clean(c)} as {c}" for c in CLEANED) + " from registry_rows",
         "registry_export": f"select {export} from registry_rows",
         "registry_names": f"select {names} from registry_rows where customerName is not null or licNo is not null",
         "registry_payload": f"""select coalesce(customerName, '') as business_name, coalesce(licNo, '') as license_number, {day('licIssueDate')} as issue_date, cast(null as varchar) as expiry_date,
@@ -460,19 +537,56 @@ def _registry_sql() -> dict[str, str]:
         "dedup_keep_null": "select rec_id, licNo, customerName from (select *, row_number() over (partition by licNo order by rec_id) rn from registry_rows) where rn = 1 or licNo is null or licNo = ''",
         "composite_key_dedup": """select rec_id, k as licence_key from (select rec_id, k, row_number() over (partition by k order by rec_id) rn from
             (select rec_id, case when length(licNo) > 0 then licNo else concat('noLic_', coalesce(customerName, 'None'), '_', coalesce(customerRegistrationNumber, 'None')) end as k from registry_rows)) where rn = 1""",
-        "anti_seen": "select rec_id, licNo from registry_rows r where not exists (select 1 from licence_snapshots s where s.snapshot_no = 1 and s.licNo = r.licNo and r.licNo <> '')",
+        "anti_seen": "select rec_id, licNo from registry_rows r where not exists (select 1 from licence_snapshots s where s.licNo = r.licNo and r.licNo <> '')",
         "capped_rows": "select rec_id, search_id from (select rec_id, search_id, row_number() over (partition by search_id order by rec_id) rn from registry_rows) where rn <= 3",
         "rows_added_per_term": "select search_id, count(*) as n_added from (select search_id, row_number() over (partition by licNo order by search_id, rec_id) rn from registry_rows where length(licNo) > 0) where rn = 1 group by 1",
     }
 
 
+_SWEPT = """l as (select unnest(string_split('abcdefghijklmnopqrstuvwxyz', '')) as c),
+h as (select l.c as term, r.* from (select rec_id, licNo, customerName from registry_rows {where}) r join l on contains(lower(r.customerName), l.c)),
+swept as (select * exclude (rn) from (select *, row_number() over (partition by term order by rec_id) as rn from h) where rn <= 100)"""
+
+
+def _picking_sql() -> dict[str, str]:
+    json = _JSON.replace("{x}", "response_text_raw")
+    known = _SWEPT.replace("{where}", "where licNo is not null")
+    return {
+        "post_calls": "select call_id, path, status from calls where contains(url, 'apexremote') and method = 'POST'",
+        "host_calls": "select call_id, host, url from calls where contains(host, 'zone')",
+        "body_matches": f"select call_id from calls where contains(response_text_raw, 'LLC') or ({_JSON.replace('{x}', 'request_body_json')} and contains(request_body_json, 'LLC'))",
+        "first_last_calls": f"""with c as (select host, method, call_id from calls where {json})
+            select 'first' as which, host, method, min(call_id) as call_id from c group by all union all select 'last', host, method, max(call_id) from c group by all""",
+        "running_unique_total": """select search_id, n_added, cast(sum(n_added) over (order by search_id) as bigint) as total from (
+            select search_id, count(*) as n_added from (select search_id, row_number() over (partition by licNo order by search_id, rec_id) rn from registry_rows where length(licNo) > 0) where rn = 1 group by 1)""",
+        "file_names": """select left(regexp_replace(regexp_replace('collector_' || coalesce(host, '') || '_' || coalesce(path, ''), '[^A-Za-z0-9_]+', '_', 'g'), '^_+|_+$', '', 'g'), 90) || '.py' as file_name,
+            count(*) as n_calls from calls group by 1""",
+        "har_calls": f"""select call_id, regexp_extract(coalesce(url, ''), '^(?:[^:/?#]+:)?(?://([^/?#]*))?([^?#]*)', 1) as host, {_PATH} as path, method, coalesce(url, '') as url, status, mime_type, started_at, time_ms,
+            response_text_raw, coalesce(array_to_string(list_sort(map_keys(query_params)), ','), '') as params, {_JSON.replace('{x}', 'request_body_json')} as sent from calls""",
+        "body_kinds": f"""with {_NAMED} select upper(coalesce(nullif(method, ''), 'GET')) as method, template as path_template, case json_type(response_text_raw) when 'ARRAY' then 'array' when 'OBJECT' then 'object'
+            when 'VARCHAR' then 'string' when 'BOOLEAN' then 'boolean' when 'DOUBLE' then 'number' else 'integer' end as kind, count(*) as n_calls from calls join named using (path) where {json} group by 1, 2, 3""",
+        "letter_sweep": f"with {_SWEPT.replace('{where}', '')} select rec_id, customerName, term from swept",
+        "split_search": f"""with {known},
+            firsts as (select licNo, min(term) as term from swept group by 1),
+            crowded as (select term from firsts group by 1 having count(*) >= 50),
+            ph as (select crowded.term || l.c as term, r.* from crowded, l join (select rec_id, licNo, customerName from registry_rows where licNo is not null) r on contains(lower(r.customerName), crowded.term || l.c)),
+            pairs as (select * exclude (rn) from (select *, row_number() over (partition by term order by rec_id) as rn from ph) where rn <= 100),
+            every as (select * from swept union all select * from pairs)
+            select rec_id, licNo, customerName, term from (select *, row_number() over (partition by licNo order by term, rec_id) as rn from every) where rn = 1""",
+        "term_results": """with t as (select distinct lower(trim(term)) as term from search_log where length(trim(term)) between 1 and 5),
+            f as (select term, count(customerName) as n from t left join registry_rows on starts_with(lower(customerName), term) group by 1)
+            select term, least(n, 100) as n_returned, n >= 100 as hit_cap from f""",
+    }
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [p4_found, p5_found, p5_changes, system_summary, url_split, path_template, dynamic_segments, named_templates, json_bodies, event_cells, envelope_rows,
               data_cells, column_order, missing_headers, secrets_masked, weak_cookies, cors, transport, verbose_errors, captcha_signals, vendor_signals, fragile_params,
               findings_pivot, security_findings, endpoint_status, first_example, redacted_headers, curl_snippet, request_scripts, html_clean, registry_clean, registry_export,
               registry_names, registry_payload, date_normalize, order_epochs, token_expiry, balanced_json, dedup_keep_null, composite_key_dedup, anti_seen,
               capped_search_names, capped_search_keep, capped_rows, rows_added_per_term, pending_terms, pagination_numeric, pagination_profiles, pagination_cursor, status_sets,
-              param_union, endpoint_schemas, widths]
+              param_union, endpoint_schemas, widths, post_calls, host_calls, body_matches, first_last_calls, running_unique_total, file_names, bot_findings, har_calls,
+              body_kinds, letter_sweep, split_search, term_results]
     return {f.__name__: f for f in listed}
 
 
@@ -490,7 +604,7 @@ def oracle_sql() -> dict[str, str]:
         "path_template": f"select {method} as method, {_TEMPLATE} as template, count(*) as n_calls from calls group by 1, 2",
         "dynamic_segments": f"select segment, count(*) as n, any_value({_DYNAMIC.replace('{x}', 'segment')}) as is_dynamic from (select unnest(string_split(path, '/')) as segment from calls) where segment <> '' group by 1",
         "named_templates": f"with {_NAMED} select template, params, count(*) as n_calls from calls join named using (path) group by 1, 2",
-        "pagination_numeric": _PAGED.replace("{filter}", "query_params['page'] is not null or query_params['offset'] is not null")
+        "pagination_numeric": _PAGED.replace("{filter}", "true")
         + "select method, path_template, key as param_name, strategy, step_size, first as initial_value, round(confidence, 4) as confidence from best where rank = 1",
         "pagination_profiles": _PAGED.replace("{filter}", "true")
         + """select s.method, s.path_template, coalesce(b.strategy, 'NONE') as strategy, b.key as param_name, case when b.key is not null then 'query' end as param_source, coalesce(b.step_size, 1) as step_size,
@@ -510,12 +624,13 @@ def oracle_sql() -> dict[str, str]:
         "event_cells": "select event_id as call_id, k as key, json_extract_string(props, '$.' || k) as value, case when json_type(props, '$.' || k) in ('BIGINT', 'UBIGINT') then 'integer' when json_type(props, '$.' || k) = 'DOUBLE' then 'number' else 'string' end as kind from (select event_id, props, unnest(json_keys(props)) as k from events where json_valid(props))",
         "envelope_rows": """select json_extract_string(r, '$.licNo') as licno, tid, count(*) as n_rows from (
             select json_extract_string(e, '$.tid') as tid, unnest(json_extract(e, '$.result[*]')) as r from (
-              select unnest(json_extract(response_text_raw, '$[*]')) as e from calls where path = '/apexremote' and json_valid(response_text_raw) and json_type(response_text_raw) = 'ARRAY'))
+              select unnest(json_extract(response_text_raw, '$[*]')) as e from calls where json_valid(response_text_raw) and json_type(response_text_raw) = 'ARRAY'))
             where json_extract_string(r, '$.licNo') is not null group by 1, 2""",
         **security,
         "first_example": "select call_id, host, method, path, status from (select *, row_number() over (partition by host, method, path order by call_id) rn from calls) where rn = 1",
-        "redacted_headers": """select call_id, e.k as name, e.v as value from (select call_id, unnest(list_concat(list_transform(map_entries(request_headers), lambda x: {'k': x.key, 'v': x.value}), [{'k': 'Authorization', 'v': '<AUTHORIZATION>'}])) as e from calls where request_headers is not null)""",
+        "redacted_headers": """select call_id, e.k as name, e.v as value from (select call_id, unnest(list_concat(coalesce(list_transform(map_entries(request_headers), lambda x: {'k': x.key, 'v': x.value}), []), [{'k': 'Authorization', 'v': '<AUTHORIZATION>'}])) as e from calls)""",
         **_registry_sql(),
+        **_picking_sql(),
         "order_epochs": "select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as by_seconds, strftime(o_orderdate, '%Y-%m-%d') as by_millis from orders",
         "token_expiry": "select event_id, event_id + 1700000000 as exp from events",
         "capped_search_names": _search_sql("registry_rows", "rec_id", "customerName", 20),

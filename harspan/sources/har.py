@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.json_bodies import json_or_null
 from ..functions.urls import url_host, url_path
+from ..operators.picking import running_total
 
 CALL_COLUMNS = [
     "call_id", "host", "path", "method", "url", "status", "mime_type", "request_headers", "response_headers", "query_params",
@@ -27,17 +28,21 @@ def _last_wins(pairs: str) -> str:
 def read_har(spark: SparkSession, path: str) -> DataFrame:
     """One row per call of the archives at ``path`` (a file, a folder or a pattern), see ``CALL_COLUMNS``.
 
-    ``call_id`` keeps the order of the calls: archives in order of their paths' hashes, each with room for 2^24 calls. An
-    archive without entries, or that is no JSON, gives no rows. Missing parts are null, a missing URL is empty.
+    ``call_id`` keeps the order of the calls: archives in order of their paths, each with room for 2^24 calls. An archive
+    without entries, or that is no JSON, gives no rows. Missing parts are null, a missing URL is empty.
     """
-    files = spark.read.text(path, wholetext=True).select(F.col("value"), F.input_file_name().alias("file"))
-    parsed = files.select("file", F.try_parse_json("value").alias("doc"))
-    parsed.createOrReplaceTempView("_harspan_archives")
-    entries = spark.sql(
-        "select file, e.pos as place, e.value as entry from _harspan_archives, "
-        "lateral variant_explode(try_variant_get(doc, '$.log.entries', 'variant')) as e where schema_of_variant(try_variant_get(doc, '$.log.entries', 'variant')) like 'ARRAY%'"
-    )
-    spark.catalog.dropTempView("_harspan_archives")
+    # the paths alone; the files are not opened
+    names = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"), F.lit(1).alias("one"))
+    numbered = running_total(names, "one", "file").select("file", F.col("total").alias("file_no"))
+    files = spark.read.text(path, wholetext=True).select(F.col("value"), F.col("_metadata.file_path").alias("file"))
+    return parse_archives(files.join(numbered, "file").select("file_no", "value"))
+
+
+def parse_archives(archives: DataFrame) -> DataFrame:
+    """The calls of archives given as ``file_no`` (0 to 2^38, each once) and their text as ``value``."""
+    parsed = archives.select("file_no", F.try_parse_json("value").alias("doc"))
+    listed = parsed.withColumn("listed", F.try_variant_get("doc", "$.log.entries", "variant")).where(F.schema_of_variant("listed").like("ARRAY%"))
+    entries = listed.lateralJoin(archives.sparkSession.tvf.variant_explode(F.col("listed").outer())).select("file_no", F.col("pos").alias("place"), F.col("value").alias("entry"))
 
     def at(place: str, kind: str = "string"):
         return F.expr(f"try_variant_get(entry, '{place}', '{kind}')")
@@ -48,7 +53,7 @@ def read_har(spark: SparkSession, path: str) -> DataFrame:
         "query_params": "$.request.queryString",
     }
     read = entries.select(
-        (F.shiftleft(F.pmod(F.xxhash64("file"), F.lit(1 << 38)), 24) + F.col("place")).alias("call_id"),
+        (F.shiftleft(F.col("file_no").cast("bigint"), 24) + F.col("place")).alias("call_id"),
         F.coalesce(at("$.request.url"), F.lit("")).alias("url"),
         at("$.request.method").alias("method"),
         at("$.response.status", "int").alias("status"),
