@@ -30,23 +30,33 @@ def source_key(name: Column) -> Column:
     return F.lower(strip(name))
 
 
-def fill_levels(shares: list[float], limits: list[float], total: float) -> list[float]:
-    """How much each source gives: in proportion to ``shares``, none above its limit, together ``total`` if it can be had."""
+def water_levels(shares: list[float], limits: list[float], total: float) -> tuple[list[float], set[int]]:
+    """What each source gives (see ``fill_levels``), and which ones the first round already holds below their share."""
     given = [0.0] * len(shares)
+    short: set[int] = set()
     open_ = [i for i, s in enumerate(shares) if s > 1e-12]
-    left = total
+    left, first = total, True
     while open_ and left > 0:
         weight = sum(shares[i] for i in open_)
-        clamped = [i for i in open_ if left * shares[i] / weight >= limits[i]]
+        wanted = {i: left * shares[i] / weight for i in open_}
+        clamped = {i for i in open_ if wanted[i] >= limits[i]}
+        if first:
+            short = {i for i in clamped if wanted[i] > limits[i]}
+            first = False
         if not clamped:
             for i in open_:
-                given[i] = left * shares[i] / weight
+                given[i] = wanted[i]
             break
         for i in clamped:
             given[i] = limits[i]
             left -= limits[i]
-        open_ = [i for i in open_ if i not in set(clamped)]
-    return given
+        open_ = [i for i in open_ if i not in clamped]
+    return given, short
+
+
+def fill_levels(shares: list[float], limits: list[float], total: float) -> list[float]:
+    """How much each source gives: in proportion to ``shares``, none above its limit, together ``total`` if it can be had."""
+    return water_levels(shares, limits, total)[0]
 
 
 def sized_sources(df: DataFrame, id_column: str, text_column: str, source_column: str,
@@ -62,7 +72,8 @@ def sized_sources(df: DataFrame, id_column: str, text_column: str, source_column
 def plan_mix(spark: SparkSession, sized: DataFrame, targets: DataFrame, total_tokens: int | None = None) -> DataFrame:
     """The plan, one row per source of ``targets``: its tokens, what it is to give, how many epochs that is.
 
-    ``falls_short`` tells that the source cannot reach its target share even at its most repeats. The mix has
+    ``falls_short`` tells that the first round clamps the source below its target share: it cannot reach it even at its
+    most repeats. Shares that do not add up to 1 are taken in proportion. The mix has
     ``total_tokens``, or as many as all rows together. A source without texts gives nothing. Sources without a target, and
     rows without a source, count in the total only. Rows of ``targets`` with a null name, share or repeats count as 0.
     """
@@ -75,11 +86,11 @@ def plan_mix(spark: SparkSession, sized: DataFrame, targets: DataFrame, total_to
     key = lambda r: (r.source_name or "").strip().lower()
     shares = [float(r.target_share or 0) for r in wanted]
     limits = [float(tokens.get(key(r), 0) * (r.max_repeats or 0)) for r in wanted]
-    given = fill_levels(shares, limits, float(total))
+    given, short = water_levels(shares, limits, float(total))
     rows = []
-    for r, share, limit, g in zip(wanted, shares, limits, given):
+    for i, (r, limit, g) in enumerate(zip(wanted, limits, given)):
         n = tokens.get(key(r), 0)
-        rows.append((r.source_name, share, r.max_repeats, n, g, g / n if n else 0.0, g >= limit, limit < share * total))
+        rows.append((r.source_name, shares[i], r.max_repeats, n, g, g / n if n else 0.0, g >= limit, i in short))
     return spark.createDataFrame(rows, _PLAN)
 
 

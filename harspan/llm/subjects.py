@@ -28,8 +28,6 @@ from ..session import collect_bounded
 SAMPLE = 6_000
 #: Most subjects; each is a component.
 MAX_SUBJECTS = 2_000
-#: Most terms (words and neighbouring words) of the matrix.
-MAX_TERMS = 40_000
 #: Orders the sample, and spreads the weights that the updates start from.
 SEED = 11
 #: A term belongs to the matrix if so many sample documents have it, and so large a share of them one subject.
@@ -234,7 +232,6 @@ def _fit_factors(counted: _Counted, truth: np.ndarray, used: np.ndarray, subject
     most = share[np.arange(n_keys), top]
     good = (seen >= min(LEAST_DOCUMENTS, max(1, n_docs // 20))) & (most >= LEAST_SHARE) & (most >= 1.5 * base[top])
     chosen = np.flatnonzero(good)
-    chosen = np.sort(chosen[np.argsort(-(seen * most)[chosen], kind="stable")][:MAX_TERMS])
 
     size = len(counted.vocabulary)
     keys = counted.keys[chosen] if len(counted.keys) else np.empty(0, np.int64)
