@@ -78,6 +78,30 @@ def near(a: str, b: str, most: int) -> bool:
     return row[-1] <= most
 
 
+def _edits(value: str) -> int:
+    return 1 + len(value) // 12
+
+
+def _part_index(values: list[str]) -> ahocorasick.Automaton | None:
+    """An automaton over parts of ``values``, each with the values that have it and its places there.
+
+    A value is cut into one part more than its allowed edits can touch, a swap touching two, so that one stays whole.
+    """
+    parts: dict[str, list[tuple[str, int, int]]] = {}
+    for value in values:
+        count = min(2 * _edits(value) + 1, len(value))
+        cuts = [len(value) * k // count for k in range(count + 1)]
+        for a, b in zip(cuts, cuts[1:]):
+            parts.setdefault(value[a:b], []).append((value, a, b - a))
+    if not parts:
+        return None
+    automaton = ahocorasick.Automaton()
+    for part, held in parts.items():
+        automaton.add_word(part, held)
+    automaton.make_automaton()
+    return automaton
+
+
 @dataclass
 class Segmenter:
     """Divides list texts with the help of known values."""
@@ -89,6 +113,7 @@ class Segmenter:
         folded = {fold_text(v)[0].strip() for v in self.known if v}
         self._exact = {v for v in folded if v}
         self._divided = sorted(v for v in self._exact if _DIVIDER.search(v) or _SOFT.search(v))
+        self._parts = _part_index(self._divided)
         self._most_pieces = max((len(_split(v, hard=False)) for v in self._divided), default=1)
         patterns = self._exact | {v.replace('"', '""') for v in self._exact if '"' in v}
         patterns |= {v.replace('"', '\\"') for v in self._exact if '"' in v}
@@ -164,6 +189,18 @@ class Segmenter:
         out.append((here, len(text), False))
         return out
 
+    def _is_near(self, folded: str) -> bool:
+        """Whether ``folded`` is a misspelling of a known value that a delimiter would divide; only values that have a part
+        in common with it, near its place, are compared."""
+        tried: set[str] = set()
+        for last, held in self._parts.iter(folded) if self._parts else ():
+            for value, first, length in held:
+                if value not in tried and abs(last + 1 - length - first) <= _edits(value):
+                    tried.add(value)
+                    if near(folded, value, _edits(value)):
+                        return True
+        return False
+
     def _open(self, span: str) -> list[str]:
         """The values of a stretch without known values: divided at delimiters, but for near spellings of known values."""
         pieces = _split(span, hard=True)
@@ -175,7 +212,7 @@ class Segmenter:
             for n in range(min(self._most_pieces, len(pieces) - i), 1, -1):
                 text = _undress(span[start : pieces[i + n - 1][1]])
                 folded = fold_text(text)[0].strip()
-                if any(near(folded, v, 1 + len(v) // 12) for v in self._divided):
+                if self._is_near(folded):
                     took, end = n, pieces[i + n - 1][1]
                     break
             out.append(span[start:end])

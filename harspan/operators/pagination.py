@@ -12,11 +12,13 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.json_bodies import load
 from ..functions.paths import with_templates
+from ..session import checkpointed
+from .picking import with_previous
 
 # Parameters that page, in order of preference, and the confidence of each kind of evidence.
 NUMERIC_KEYS = ["offset", "page", "p", "skip", "startIndex", "start"]
@@ -77,9 +79,12 @@ def numeric_profiles(calls: DataFrame) -> DataFrame:
     ranked = found.join(steady, [*ENDPOINT, "key_idx", "key"]).select(
         *ENDPOINT, "key_idx", "call_id", F.expr("(number - low) div step").alias("rank"), ((F.col("number") - F.col("low")) % F.col("step") == 0).alias("exact")
     )
-    after = ranked.select(*ENDPOINT, "key_idx", (F.col("rank") - 1).alias("rank"), F.col("call_id").alias("next_id"))
-    linked = ranked.where("exact").join(after, [*ENDPOINT, "key_idx", "rank"]).where("call_id < next_id")
-    chains = linked.groupBy(*ENDPOINT, "key_idx").agg(F.countDistinct("rank").alias("links"))
+    # a number that comes twice leaves another rank empty, so only ranks of one call make a chain
+    single = ranked.groupBy(*ENDPOINT, "key_idx", "rank").agg(F.min("call_id").alias("call_id"), F.count(F.lit(1)).alias("calls"), F.bool_and("exact").alias("exact"))
+    single = single.where("calls = 1 and exact").drop("calls", "exact")
+    after = single.select(*ENDPOINT, "key_idx", (F.col("rank") - 1).alias("rank"), F.col("call_id").alias("next_id"))
+    linked = single.join(after, [*ENDPOINT, "key_idx", "rank"]).where("call_id < next_id")
+    chains = linked.groupBy(*ENDPOINT, "key_idx").agg(F.count(F.lit(1)).alias("links"))
     confirmed = steady.join(chains, [*ENDPOINT, "key_idx"]).where("links = n - 1")
     several = confirmed.select(*ENDPOINT, "key_idx", "key", "source", "first", strategy, "step", (0.6 + 0.35 * F.least(F.col("n") / 5, F.lit(1.0))).alias("confidence"), "n")
     best = F.min_by(F.struct("key", "source", "first", "strategy", "step", "confidence", "n"), F.struct(-F.col("confidence"), "key_idx")).alias("b")
@@ -119,7 +124,7 @@ def cursor_profiles(calls: DataFrame) -> DataFrame:
     source = uses.groupBy(*ENDPOINT, "key").agg(F.min_by("source", "call_id").alias("source"))
     # only ids are put in order; bodies are fetched by id
     ids = calls.join(chosen.select(*ENDPOINT), ENDPOINT, "left_semi").select(*ENDPOINT, "call_id")
-    before = ids.withColumn("before_id", F.lag("call_id").over(Window.partitionBy(*ENDPOINT).orderBy("call_id"))).where("before_id is not null")
+    before = with_previous(ids, ENDPOINT, "call_id", "before_id").where("before_id is not null")
     asked = uses.select(*ENDPOINT, "call_id", "json").join(before, [*ENDPOINT, "call_id"])
     shown = asked.join(calls.select(F.col("call_id").alias("before_id"), "response_body_json"), "before_id")
     paths = shown.select(*ENDPOINT, "call_id", _cursor_path(F.col("response_body_json"), F.col("json")).alias("path")).where("path is not null")
@@ -133,7 +138,7 @@ def pagination_profiles(calls: DataFrame) -> DataFrame:
     A numeric parameter of good confidence goes before a cursor, that before a lone number. Equal confidence goes to
     the parameter listed first. Calls without a method count as GET; an empty table has no endpoints.
     """
-    keyed = endpoint_calls(calls)
+    keyed = checkpointed(endpoint_calls(calls).select(*ENDPOINT, "call_id", "query_params", "request_body_json", "response_body_json"))
     sizes = keyed.groupBy(*ENDPOINT).agg(F.count(F.lit(1)).alias("n_calls"))
     numeric = numeric_profiles(keyed).select(*ENDPOINT, F.struct("*").alias("num"))
     cursor = cursor_profiles(keyed).select(*ENDPOINT, F.struct("*").alias("cur"))

@@ -57,6 +57,27 @@ def running_total(rows: DataFrame, value: str, *order: str) -> DataFrame:
     return summed.withColumn("total", F.col("_own") + F.col("_before")).drop("_range", "_own", "_before")
 
 
+def with_previous(rows: DataFrame, by: list[str], order: str, name: str) -> DataFrame:
+    """``rows`` with ``name``: the ``order`` of the row before, within its group of ``by``; null for the first of a group.
+
+    Rows are put into ranges of group and order, so that a large group is spread over tasks; the first row of a range is
+    preceded by the last one of the range before it.
+    """
+    ranged = checkpointed(rows.repartitionByRange(*by, order).withColumn("_range", F.spark_partition_id()))
+    ends = ranged.groupBy("_range").agg(F.max(F.struct(*by, order)).alias("e"))
+    ends = sorted(collect_bounded(ends, MAX_PARTITIONS, "the list of ranges"), key=lambda r: r["_range"])
+    schema = ", ".join(["_range int", *[f"_by{i} {rows.schema[b].dataType.simpleString()}" for i, b in enumerate(by)], f"_last {rows.schema[order].dataType.simpleString()}"])
+    # at most one row for each range
+    before = F.broadcast(rows.sparkSession.createDataFrame([(r["_range"], *p["e"]) for p, r in zip(ends, ends[1:])], schema))
+    own = F.lag(order).over(Window.partitionBy("_range", *by).orderBy(order))
+    first = F.row_number().over(Window.partitionBy("_range").orderBy(*by, order)) == 1
+    same = F.lit(True)
+    for i, b in enumerate(by):
+        same &= F.col(b).eqNullSafe(F.col(f"_by{i}"))
+    out = ranged.withColumn("_own", own).withColumn("_first", first).join(before, "_range", "left")
+    return out.select(*rows.columns, F.coalesce("_own", F.when(F.col("_first") & same, F.col("_last"))).alias(name))
+
+
 def file_name(host: Column, path: Column, suffix: str = ".py") -> Column:
     """A safe name for the file of an endpoint's collector: letters, digits and underscores, at most 90 and the suffix."""
     base = F.concat(F.lit("collector_"), F.coalesce(host, F.lit("")), F.lit("_"), F.coalesce(path, F.lit("")))

@@ -52,7 +52,8 @@ def request_script(headers: Column) -> Column:
 
 def snippets(calls: DataFrame, redact: bool = True) -> DataFrame:
     """One row per host, method and path with a command and a script, sensitive headers replaced unless told otherwise."""
-    first = first_per_key(calls, [F.col("host"), F.col("method"), F.col("path")], [F.col("call_id")])
+    needed = calls.select("call_id", "host", "method", "path", "url", "status", "request_headers", "request_body_json")
+    first = first_per_key(needed, [F.col("host"), F.col("method"), F.col("path")], [F.col("call_id")])
     shown = redacted(F.col("request_headers")) if redact else F.col("request_headers")
     shown = F.coalesce(shown, F.create_map().cast("map<string,string>"))
     ready = first.withColumns({"shown": shown, "body_text": _compact(F.col("request_body_json"))})
