@@ -134,7 +134,10 @@ def contained(whole: DataFrame) -> DataFrame:
     one = F.coalesce(F.col("low") == F.col("high"), F.coalesce(F.col("low_box") == F.col("high_box"), F.lit(True)))
     postings = hubs.groupBy("unit", "token").agg(F.collect_list(F.struct("number", "f", one.alias("one"))).alias("hubs"))
     # the index: the rarest identifying part, and the next ones while what is left could still be enough
-    ranked = F.array_sort(F.filter("tokens", shows), lambda a, b: F.when(a["weight"] > b["weight"], -1).when(a["weight"] < b["weight"], 1).otherwise(0))
+    # an address whose building is known and numbered meets nothing else that would not contradict it
+    told = F.exists("tokens", lambda t: (t["kind"] == BUILDING) & (t["weight"] > 0)) & F.col("number").isNotNull()
+    asks = lambda t: shows(t) & (~told | (t["kind"] == BUILDING))
+    ranked = F.array_sort(F.filter("tokens", asks), lambda a, b: F.when(a["weight"] > b["weight"], -1).when(a["weight"] < b["weight"], 1).otherwise(0))
     indexed = whole.withColumn("ranked", ranked).select(
         "profile", "unit", "building", "number", "tokens", "total",
         F.explode(F.filter("ranked", lambda t, i: F.col("total") - _sum(F.slice("ranked", 1, i)) >= CONTAINED * F.col("total"))).alias("t"),
@@ -144,7 +147,7 @@ def contained(whole: DataFrame) -> DataFrame:
     def fits(hub: Column) -> Column:
         own, other = F.col("building"), hub["f"]["building"]
         near = (F.levenshtein(own, other) <= NEAR_SHARE * F.greatest(F.length(own), F.length(other))) & hub["one"]
-        return F.when(own.isNull(), hub["one"]).otherwise(F.coalesce((own == other) | near, F.lit(False)))
+        return F.when(F.col("t.kind") == BUILDING, F.lit(True)).when(own.isNull(), hub["one"]).otherwise(F.coalesce((own == other) | near, F.lit(False)))
 
     fitting = met.withColumn("hubs", F.filter("hubs", fits))
     numbered = F.filter("hubs", lambda h: h["number"].isNotNull())
