@@ -116,14 +116,15 @@ def pack_documents(df: DataFrame, id_column: str, text_column: str, capacity: in
     pieces = cut_long(sizes, capacity)
     first = checkpointed(_pack_round(pieces, capacity, classes, 0, False))
     done = [first.where("container_id is not null")]
-    rest = first.where("container_id is null")
+    # written apart, so that fewer workers need not read what is packed
+    rest = checkpointed(first.where("container_id is null"))
     workers = first.rdd.getNumPartitions()
     round_no = 1
     while workers > GATHER:
         workers = -(-workers // GATHER)
         packed = checkpointed(_pack_round(rest.coalesce(workers), capacity, classes, round_no, False))
         done.append(packed.where("container_id is not null"))
-        rest = packed.where("container_id is null")
+        rest = checkpointed(packed.where("container_id is null"))
         round_no += 1
     # at most the unfinished containers of GATHER workers
     done.append(_pack_round(rest.coalesce(1), capacity, classes, round_no, True))
