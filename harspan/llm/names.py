@@ -7,9 +7,9 @@ Stages, all over every row: (1) distinct texts are read into words (titles, lega
 misspelt words settled against the vocabulary; (2) distinct signatures become vectors of hashed character n-grams,
 weighted by squared inverse document frequency over all signatures; (3) the join: n-grams have one global order, the rarest
 first. A signature is posted under its first n-grams, up to where the rest of its vector is shorter than the threshold,
-so that any two names of that cosine share a posting. Within a posting cosines are computed, pairs below the threshold
-or of contradicting names (another given name, another trade) dropped, and each name keeps its ``TOP_N`` nearest
-partners and its most used one; (4) the partner graph falls into components, and average linkage groups each of them.
+so that any two names of that cosine share a posting. Within a posting cosines are computed for the names that have a
+word in common by which they need not contradict each other, pairs below the threshold or of contradicting names
+(another given name, another trade) dropped, and each name keeps its ``TOP_N`` nearest partners and its most used one; (4) the partner graph falls into components, and average linkage groups each of them.
 The averages are taken over all pairs of the groups, from sums of vectors, so a pair that top-n left out counts too.
 
 A name that holds a third of all rows is one signature. A posting of more than ``BLOCK`` signatures is compared as pairs
@@ -42,7 +42,9 @@ THRESHOLDS = (0.5, 0.5)
 #: Nearest partners that a name keeps for the partner graph.
 TOP_N = 10
 #: Signatures of a posting that are compared in one unit of work; bounds memory and changes no result.
-BLOCK = 2_000
+BLOCK = 20_000
+#: Pairs of signatures that a task looks at together.
+HELD_PAIRS = 1_000_000
 #: An n-gram that a single name has finds no partner; it tells a misspelling as often as another name and weighs less.
 LONE = 0.2
 #: Posted signatures that a task holds at once.
@@ -106,6 +108,12 @@ def word_features(word: str, person: bool) -> tuple[int, ...]:
     return tuple(crc32(f"{person:d}{padded[i : i + NGRAM]}".encode()) % FEATURES for i in range(max(1, len(padded) - NGRAM + 1)))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The different numbers, in order; sorting is several times faster than ``np.unique`` here."""
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
 class Weights:
     """Document frequencies of all features, and what follows from them."""
 
@@ -117,7 +125,7 @@ class Weights:
         first, and their weights, those of a signature being of length 1 together."""
         lists = [[f for w in s.split() for f in word_features(w, p)] for s, p in zip(sigs, persons.tolist())]
         rows = np.repeat(np.arange(len(sigs)), np.fromiter(map(len, lists), np.int64, len(lists)))
-        found = np.unique(rows * FEATURES + np.fromiter((f for x in lists for f in x), np.int64, len(rows)))
+        found = distinct(rows * FEATURES + np.fromiter((f for x in lists for f in x), np.int64, len(rows)))
         rows, feats = found // FEATURES, found % FEATURES
         order = np.lexsort((feats, self.frequency[feats], rows))
         rows, feats = rows[order], feats[order]
@@ -277,12 +285,171 @@ def posted(ids: np.ndarray, sigs: list[str], persons: np.ndarray, used: np.ndarr
     )
 
 
+def gapped(word: str, twice: bool) -> set[str]:
+    """The word and its forms with one letter left out, or with up to two."""
+    once = {word[:i] + word[i + 1 :] for i in range(len(word))}
+    return {word} | once | ({w[:i] + w[i + 1 :] for w in once for i in range(len(w))} if twice else set())
+
+
+def spread(begin: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of ranges that begin at ``begin`` and hold ``count``: whose range it is, and the number."""
+    owner = np.repeat(np.arange(len(count)), count)
+    return owner, np.arange(len(owner)) + np.repeat(begin - np.cumsum(count) + count, count)
+
+
+def misspellings(words: list[str], person: bool, rules: Rules) -> dict[int, list[int]]:
+    """The numbers of the other ones of ``words`` that each may be a misspelling of (see ``Rules.near``)."""
+    support = np.fromiter((rules.support(w, person) for w in words), np.int64, len(words))
+    form, of = [], []
+    for k, word in enumerate(words):
+        if len(word) >= 5 and not any(c.isdigit() for c in word):
+            mine = gapped(word, support[k] < ESTABLISHED and len(word) >= 6)
+            form.extend(map(hash, mine))
+            of.extend([k] * len(mine))
+    form, of = np.array(form, dtype=np.int64), np.array(of, dtype=np.int64)
+    order = np.argsort(form, kind="stable")
+    form, of = form[order], of[order]
+    # each with those behind it that have the same form
+    u, v = spread(np.arange(1, len(form) + 1), np.searchsorted(form, form, side="right") - np.arange(1, len(form) + 1))
+    u, v = np.minimum(of[u], of[v]), np.maximum(of[u], of[v])
+    low, high = np.minimum(support[u], support[v]), np.maximum(support[u], support[v])
+    pairs = distinct((u * len(words) + v)[(u != v) & ((low < ESTABLISHED) | (high >= TIMES * low))])
+    found: dict[int, list[int]] = {}
+    for u, v in zip((pairs // max(1, len(words))).tolist(), (pairs % max(1, len(words))).tolist()):
+        if rules.near(words[u], words[v], person):
+            found.setdefault(u, []).append(v)
+            found.setdefault(v, []).append(u)
+    return found
+
+
+def by_ends(wholes: list[str]) -> list[tuple[int, int, int, dict[str, list[str]]]]:
+    """Words of eight letters or more by their first and last letters: from which length to which, how many, and the words.
+
+    One edit, a swap too, leaves so many letters at one of the two ends. The last ones go with the first letter.
+    """
+    out: list[tuple[int, int, int, dict[str, list[str]]]] = [(8, 9, 3, {}), (10, 11, 4, {}), (12, 1 << 30, 5, {})]
+    for w in wholes:
+        _, _, n, ends = out[min((len(w) - 8) // 2, 2)]
+        ends.setdefault(w[:n], []).append(w)
+        ends.setdefault(w[0] + "$" + w[-n:], []).append(w)
+    return [(low - 1, high + 1, n, ends) for low, high, n, ends in out if ends]
+
+
+def run_together(words: list[str], wholes: list[tuple[int, int, int, dict[str, list[str]]]]) -> list[tuple[str, str, str]]:
+    """Which of ``wholes`` two of the words are when written together, but for one edit: the whole and the two."""
+    out = []
+    for u in words:
+        for v in words:
+            both, size = u + v, len(u) + len(v)
+            for low, high, n, ends in wholes:
+                if low <= size <= high:
+                    for key in (both[:n], u[0] + "$" + both[-n:]):
+                        if key in ends and u != v:
+                            out.extend((w, u, v) for w in ends[key] if one_edit(w, both))
+    return out
+
+
+def candidates(group: np.ndarray, gram: np.ndarray, at: np.ndarray, sigs: list[str], persons: np.ndarray, rules: Rules) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of one ``group`` (sorted) that need not contradict each other: all such pairs, some of them more than once.
+
+    Persons that do not contradict have the same surname, or one is a misspelling of the other. Of two companies one has
+    nothing that the other lacks, so any word of it is in the other one: the same, misspelt or run together. Each row asks
+    for one such word, the rarest that the ``gram`` of its group is not part of, as all others there have that.
+    """
+    split = [s.split() for s in sigs]
+    both = persons.tolist()
+    # the words of companies come first
+    words = [list(dict.fromkeys(w for x, p in zip(split, both) if not p for w in x)), list(dict.fromkeys(w for x, p in zip(split, both) if p for w in (x[-1], bare_name(x[-1]))))]
+    company, person = {w: k for k, w in enumerate(words[0])}, {w: k for k, w in enumerate(words[1], len(words[0]))}
+    total = len(company) + len(person)
+    near = [[k, *(i + x for x in found.get(k - i, ()))] for of, i in ((0, 0), (1, len(company))) for found in [misspellings(words[of], bool(of), rules)] for k in range(i, i + len(words[of]))]
+    support = [rules.support(w, False) for w in words[0]]
+    wholes = by_ends([w for w in words[0] if len(w) >= 8])
+    asked: list[list[int]] = []
+    held: list[list[int]] = []
+    inside: list[tuple[int, int]] = []
+    for h, (x, p) in enumerate(zip(split, both)):
+        if p:
+            mine = person[x[-1]], person[bare_name(x[-1])]
+            held.append(mine if mine[0] != mine[1] else mine[:1])
+            asked.append(near[mine[0]] if mine[0] == mine[1] else list({*near[mine[0]], *near[mine[1]]}))
+            asked.append([])
+            continue
+        mine = sorted({company[w] for w in x}, key=support.__getitem__)
+        joint = run_together(x, wholes)
+        held.append(list({*mine, *(company[w] for w, _, _ in joint)}) if joint else mine)
+        for k in mine[:2]:
+            asked.append(list({*near[k], *(company[w] for w, *parts in joint if words[0][k] in parts)}) if joint else near[k])
+        if len(mine) == 1:
+            asked.append([])
+        else:
+            inside.extend((h, f) for f in word_features(words[0][mine[0]], False))
+    rarest = np.array([h * FEATURES + f for h, f in inside], dtype=np.int64)
+    second = np.isin(at * FEATURES + gram, rarest).astype(np.int64)
+    slot = at * 2 + second
+
+    def keys(lists: list[list[int]], which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        flat = np.fromiter((k for x in lists for k in x), np.int64, int(sizes.sum()))
+        row, k = spread((np.cumsum(sizes) - sizes)[which], sizes[which])
+        return row, group[row] * total + flat[k]
+
+    row, key = keys(held, at)
+    order = np.argsort(key, kind="stable")
+    row, key = row[order], key[order]
+    asks, wanted = keys(asked, slot)
+    begin = np.searchsorted(key, wanted)
+    count = np.searchsorted(key, wanted, side="right") - begin
+    ends = np.cumsum(count)
+    low = 0
+    while low < len(count):
+        # as many as fit, one at least
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + HELD_PAIRS)))
+        owner, k = spread(begin[low:high], count[low:high])
+        yield asks[low:high][owner], row[k]
+        low = high
+
+
+def cosines(i: np.ndarray, j: np.ndarray, begins: np.ndarray, feats: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The cosine of each pair of vectors, and the place in the first one of the first feature that they share."""
+    sizes = np.diff(begins)
+    dot, first = np.zeros(len(i), dtype=np.float64), np.full(len(i), -1)
+    order = np.argsort(np.maximum(sizes[i], sizes[j]), kind="stable")
+    low = 0
+    while low < len(order):
+        # pairs of about the same sizes at once
+        wide = max(16, int(max(sizes[i[order[low]]], sizes[j[order[low]]])) + 8)
+        some = order[low : low + max(1, 4_000_000 // (wide * wide))]
+        some = some[: max(1, int(np.searchsorted(np.maximum(sizes[i[some]], sizes[j[some]]), wide, side="right")))]
+        low += len(some)
+        if wide > 512:
+            for k in some.tolist():
+                a, b = slice(begins[i[k]], begins[i[k] + 1]), slice(begins[j[k]], begins[j[k] + 1])
+                _, x, y = np.intersect1d(feats[a], feats[b], assume_unique=True, return_indices=True)
+                dot[k] = (share[a][x] * share[b][y]).sum()
+                first[k] = x.min() if len(x) else -1
+            continue
+
+        def padded(h: np.ndarray, none: int) -> tuple[np.ndarray, np.ndarray]:
+            k = begins[h][:, None] + np.arange(int(sizes[h].max()))[None, :]
+            there = k < begins[h + 1][:, None]
+            k = np.where(there, k, 0)
+            return np.where(there, feats[k], none), share[k]
+
+        (x, u), (y, v) = padded(i[some], -1), padded(j[some], -2)
+        same = x[:, :, None] == y[:, None, :]
+        dot[some] = (u * (same @ v[:, :, None])[:, :, 0]).sum(axis=1)
+        any_of = same.any(axis=2)
+        first[some] = np.where(any_of.any(axis=1), any_of.argmax(axis=1), -1)
+    return dot, first
+
+
 def partners(posts: pd.DataFrame, weights: Weights, thresholds: tuple[float, float] = THRESHOLDS) -> pd.DataFrame:
     """``a``, ``b``, ``cosine`` and the rows of ``b`` for pairs of the same units that reach the threshold and do not contradict.
 
     ``posts`` holds whole units, one after another. A pair belongs to the posting of the first n-gram that its names share.
-    There their cosine is at most the product of the lengths of the two vectors from that n-gram on, so that each name is
-    compared only with those of its unit whose rest is long enough.
+    There their cosine is at most the product of the lengths of the two vectors from that n-gram on. Cosines are computed
+    for the pairs of a unit that need not contradict each other, so its cost does not grow with the square of its size.
     """
     rules = Rules(weights)
     ids = posts["id"].to_numpy()
@@ -291,61 +458,44 @@ def partners(posts: pd.DataFrame, weights: Weights, thresholds: tuple[float, flo
     persons = posts["person"].to_numpy(dtype=bool)[heads]
     used, names, sigs = posts["n_rows"].to_numpy()[heads], ids[heads], [texts[h] for h in heads]
     vectors = [np.frombuffer(packed[h], dtype=np.int32) for h in heads]
-    width = max(map(len, vectors))
-    # behind its own features each row has a feature of no name
-    feats = np.full((len(heads), width), FEATURES, dtype=np.int32)
-    share = np.zeros((len(heads), width), dtype=np.float32)
     sizes = np.fromiter(map(len, vectors), np.int64, len(vectors))
-    filled = np.arange(width)[None, :] < sizes[:, None]
-    feats[filled] = np.concatenate(vectors)
-    share[filled] = weights.weigh(weights.frequency[feats[filled]], np.repeat(persons.astype(int), sizes))
-    share /= np.sqrt((share * share).sum(axis=1, keepdims=True))
-    rest = np.sqrt(np.maximum(np.cumsum((share * share)[:, ::-1], axis=1)[:, ::-1], 0))
-    least = np.array(thresholds, dtype=np.float32)[persons.astype(int)]
+    begins = np.r_[0, np.cumsum(sizes)]
+    feats, of = np.concatenate(vectors), np.repeat(np.arange(len(sizes)), sizes)
+    share = weights.weigh(weights.frequency[feats], persons.astype(int)[of])
+    share = share / np.sqrt(np.add.reduceat(share * share, begins[:-1]))[of]
+    ahead = np.r_[np.cumsum((share * share)[::-1])[::-1], 0.0]
+    rest = np.sqrt(np.maximum(ahead[:-1] - ahead[begins[1:]][of], 0))
+    least = np.array(thresholds)[persons.astype(int)]
 
     gram, side, unit = posts["gram"].to_numpy(), posts["side"].to_numpy(), posts["unit"].to_numpy()
-    depth = (feats[at] == gram[:, None]).argmax(axis=1)
-    length = np.minimum(rest[at, depth], 1.0).astype(np.float64)
-    order = np.lexsort((-length, unit))
-    at, depth, length, gram, side, unit = (x[order] for x in (at, depth, length, gram, side, unit))
-    begins = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
-    group = np.repeat(np.arange(len(begins)), np.diff(np.r_[begins, len(unit)]))
-    start = begins[group]
-    # of the earlier ones of its unit, those long enough come first
-    enough = np.searchsorted(group * 2 + (1 - length), group * 2 + (1 - least[at] / length) + 1e-6, side="right") - start
-    count = np.clip(enough, 0, np.arange(len(unit)) - start)
+    keyed = of * FEATURES + feats
+    order = np.argsort(keyed)
+    spot = order[np.searchsorted(keyed, at * FEATURES + gram, sorter=order)]
+    depth, length = spot - begins[at], np.minimum(rest[spot], 1.0)
+    group = np.cumsum(np.r_[False, unit[1:] != unit[:-1]])
     blocks = -(-weights.frequency[gram] // BLOCK)
     pair = unit // FEATURES
     # a unit of two blocks has the pairs across them only
     across = pair // blocks != pair % blocks
 
-    found: list[tuple] = []
-    rows, parts, limit = feats[at], share[at], least[at] - 1e-6
-    place = np.zeros(FEATURES + 1, dtype=np.int32)
-    for low, high in zip(begins.tolist(), np.r_[begins[1:], len(unit)].tolist()):
-        if not count[low:high].any():
-            continue
-        # the vectors of the unit over its own features, and all their products at once
-        wide = int(sizes[at[low:high]].max())
-        held = rows[low:high, :wide].ravel()
-        place[held] = np.arange(len(held), dtype=np.int32)
-        last = place[held]
-        column = np.cumsum(last == np.arange(len(held)))[last] - 1
-        dense = np.zeros((high - low, int(column.max()) + 1), dtype=np.float32)
-        dense[np.repeat(np.arange(high - low), wide), column] = parts[low:high, :wide].ravel()
-        dot = dense @ dense.T
-        for p, q in zip(*(x.tolist() for x in np.nonzero(dot >= limit[low:high, None]))):
-            i, j = at[low + p], at[low + q]
-            if q >= p or i == j or (across[low + p] and side[low + p] == side[low + q]):
-                continue
-            # a pair that shares an earlier n-gram is found in the posting of that
-            until, back = depth[low + p], depth[low + q]
-            if until and back and not set(feats[i, :until].tolist()).isdisjoint(feats[j, :back].tolist()):
-                continue
-            if not rules.apart(sigs[i], sigs[j], bool(persons[i])):
-                found.append((names[i], names[j], dot[p, q], used[j]))
-                found.append((names[j], names[i], dot[p, q], used[i]))
-    return pd.DataFrame(found, columns=["a", "b", "cosine", "n_rows"]).astype({"a": "int64", "b": "int64", "cosine": "float32", "n_rows": "int64"})
+    found: list[np.ndarray] = []
+    for p, q in candidates(group, gram, at, sigs, persons, rules):
+        p, q = np.minimum(p, q), np.maximum(p, q)
+        i, j = at[p], at[q]
+        enough = (i != j) & (length[p] * length[q] >= least[i] - 1e-6) & ~(across[p] & (side[p] == side[q]))
+        # a pair that shares an earlier n-gram is found in the posting of that
+        enough &= (depth[p] == 0) | (depth[q] == 0) | (feats[begins[i]] != feats[begins[j]])
+        p, q = np.divmod(distinct(p[enough] * len(at) + q[enough]), len(at))
+        dot, first = cosines(at[p], at[q], begins, feats, share)
+        near = (dot >= least[at[p]] - 1e-6) & (first == depth[p])
+        found.append(np.c_[at[p[near]], at[q[near]], dot[near]])
+    near = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 3))
+    out: list[tuple] = []
+    for i, j, dot in zip(near[:, 0].astype(int).tolist(), near[:, 1].astype(int).tolist(), near[:, 2].tolist()):
+        if not rules.apart(sigs[i], sigs[j], bool(persons[i])):
+            out.append((names[i], names[j], dot, used[j]))
+            out.append((names[j], names[i], dot, used[i]))
+    return pd.DataFrame(out, columns=["a", "b", "cosine", "n_rows"]).astype({"a": "int64", "b": "int64", "cosine": "float32", "n_rows": "int64"})
 
 
 def components(edges: DataFrame) -> DataFrame:

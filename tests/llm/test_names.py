@@ -157,3 +157,18 @@ def test_links_of_entities(spark):
     df = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "rec_id long, n string, entity int")
     found = names.entity_links(names.link_fields(df, "rec_id", {"n": True})).collect()
     assert {r.rec_id: r.n_links for r in found} == {0: 2, 1: 2, 2: 3, 3: 3, 5: 0} and {r.field_name for r in found} == {"n"}
+
+
+@pytest.mark.parametrize("person", [False, True])
+def test_work_of_a_posting_does_not_grow_with_its_square(person):
+    rng = np.random.default_rng(3)
+    parts = [a + b + c for a in "bdfgk" for b in "aeo" for c in "lmnr"]
+    pick = lambda: parts[rng.integers(len(parts))]
+    # all have the beginning of a word in common
+    sigs = sorted({f"{pick()}{pick()} zobja{pick()}{pick()}{pick()}" for _ in range(5_000)})
+    weights, n, kind = weights_of(sigs, person), len(sigs), np.full(len(sigs), person)
+    posts = names.posted(np.arange(n), sigs, kind, np.ones(n, dtype=np.int64), weights, (0.01, 0.01))
+    assert posts.groupby("gram").size().max() == n
+    at, gram = np.arange(n), np.full(n, names.word_features("zobja", person)[0])
+    looked_at = sum(len(p) for p, _ in names.candidates(np.zeros(n, dtype=np.int64), gram, at, sigs, kind, names.Rules(weights)))
+    assert n <= looked_at < 20 * n
